@@ -19,14 +19,14 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
 
 
-def round_half_up(c: Column | str, digits: int = 2) -> Column:
-    """SQL rounding. The first round drops summation noise, so re-runs agree on ties."""
-    return F.round(F.round(col(c), digits + 2), digits)
+def round_half_up(c: Column | str, digits: int = 2, guard: int = 2) -> Column:
+    """SQL rounding. The first round, ``guard`` digits finer, drops summation noise so re-runs agree on ties."""
+    return F.round(F.round(col(c), digits + guard), digits)
 
 
-def round_half_even(c: Column | str, digits: int = 2) -> Column:
-    """Round ties to the even digit, after dropping summation noise."""
-    return F.bround(F.round(col(c), digits + 2), digits)
+def round_half_even(c: Column | str, digits: int = 2, guard: int = 6) -> Column:
+    """Round ties to the even digit, after dropping floating-point noise far below them."""
+    return F.bround(F.round(col(c), digits + guard), digits)
 
 
 def pct(numerator: Column | str, denominator: Column | str) -> Column:

@@ -79,12 +79,11 @@ def with_quarter_keys(df: DataFrame) -> DataFrame:
 
 
 def with_ranks(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "Loyalty_Rank": rank_in("LoyaltyStatus", fixed.LOYALTY_TIERS),
-            "Education_Rank": rank_in("Education", fixed.EDUCATION_LEVELS),
-        }
-    )
+    ranks = {
+        "Loyalty_Rank": ("LoyaltyStatus", fixed.LOYALTY_TIERS),
+        "Education_Rank": ("Education", fixed.EDUCATION_LEVELS),
+    }
+    return df.withColumns({out: rank_in(c, values) for out, (c, values) in ranks.items() if c in df.columns})
 
 
 def with_income_bucket(df: DataFrame) -> DataFrame:
@@ -132,11 +131,25 @@ def with_geography(df: DataFrame) -> DataFrame:
     )
 
 
+def enrich_rows(clean: DataFrame) -> DataFrame:
+    """Row-wise enrichment: every derived column whose inputs are present and need no global value."""
+    steps = [
+        ({"Revenue", "Unit Cost", "Quantity Sold", "Count"}, with_metrics),
+        ({"Order Year", "Quarter"}, with_quarter_keys),
+        (set(), with_ranks),
+        ({"Income"}, with_income_bucket),
+        ({"MonthsAsMember"}, with_tenure_bucket),
+        ({"Country", "Province or State", "City", "Postal code"}, with_geography),
+    ]
+    for inputs, step in steps:
+        if inputs <= set(clean.columns):
+            clean = step(clean)
+    return clean
+
+
 def enrich_sales(
     clean: DataFrame, edges: Sequence[float | None] | None = None, popularity: DataFrame | None = None
 ) -> DataFrame:
     """All derived columns. The two global inputs (CLV edges, coupon ranks) are measured if not given."""
-    df = with_ranks(with_quarter_keys(with_metrics(clean)))
-    df = with_geography(with_tenure_bucket(with_income_bucket(df)))
-    df = with_clv_segment(df, clv_edges(clean) if edges is None else edges)
+    df = with_clv_segment(enrich_rows(clean), clv_edges(clean) if edges is None else edges)
     return with_coupons(df, coupon_popularity(clean) if popularity is None else popularity)

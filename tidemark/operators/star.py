@@ -121,6 +121,8 @@ def fact_rows(enriched: DataFrame, products: DataFrame | None = None) -> DataFra
     """The fact before numbering, restricted to the columns present in ``enriched``."""
     names = {s: t for s, t in FACT_COLUMNS.items() if s in enriched.columns}
     rows = project(enriched, names)
+    if "Product_Line" not in rows.columns:
+        return rows
     ids = product_ids(enriched) if products is None else products.select("Product_Line", "Product_ID")
     return lookup_join(rows, ids, "Product_Line").select(*names.values(), "Product_ID")
 
