@@ -44,7 +44,7 @@ def _slope(y: str, x: str, frame) -> Column:
 
 
 def _growth(frame) -> Column:
-    return F.coalesce(F.median("__growth").over(frame), F.lit(1.0))
+    return F.coalesce(F.percentile("__growth", F.lit(0.5)).over(frame), F.lit(1.0))
 
 
 def one_step_predictions(series: DataFrame, keys: Sequence[str] = ("Target",)) -> DataFrame:

@@ -41,6 +41,16 @@ def lookup_join(
     return df.join(lookup, on, how)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match null keys; the keys of the left side are kept."""
+    keys = list(keys)
+    if not keys:
+        return attach_row(left, right)
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    condition = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
+
+
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a global aggregate (always exactly one row) to every row."""
     return df.crossJoin(F.broadcast(one_row))
@@ -140,7 +150,7 @@ def with_running_totals(
     )
     inside = Window.partitionBy(*keys, "__bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        bucketed.join(offsets, [*keys, "__bucket"])
+        null_safe_join(bucketed, offsets, [*keys, "__bucket"])
         .select(
             *df.columns,
             *[

@@ -117,14 +117,16 @@ def build_fact(
     return sequential_ids(rows, "Fact_ID", id_order)
 
 
+def fact_columns(enriched: DataFrame) -> DataFrame:
+    """The fact columns whose inputs are present, under their curated names."""
+    return project(enriched, {s: t for s, t in FACT_COLUMNS.items() if s in enriched.columns})
+
+
 def fact_rows(enriched: DataFrame, products: DataFrame | None = None) -> DataFrame:
-    """The fact before numbering, restricted to the columns present in ``enriched``."""
-    names = {s: t for s, t in FACT_COLUMNS.items() if s in enriched.columns}
-    rows = project(enriched, names)
-    if "Product_Line" not in rows.columns:
-        return rows
+    """The fact before numbering, with Product_ID."""
+    rows = fact_columns(enriched)
     ids = product_ids(enriched) if products is None else products.select("Product_Line", "Product_ID")
-    return lookup_join(rows, ids, "Product_Line").select(*names.values(), "Product_ID")
+    return lookup_join(rows, ids, "Product_Line").select(*rows.columns, "Product_ID")
 
 
 def with_partition_column(df: DataFrame, source: str, partition: str) -> DataFrame:

@@ -251,3 +251,430 @@ _MODEL_ROWS = [
 ORACLE["model_input_report"] = with_customers("\nunion all ".join(
     f"select '{level}' as \"Level\", '{check}' as \"Check\", cast({value} as bigint) as \"Value\""
     for level, check, value in _MODEL_ROWS))
+
+# -- series --------------------------------------------------------------------------------------
+SERIES = """,
+qs as (
+  select year_quarter, cast(row_number() over (order by year, quarter_num) as int) as quarter_idx, quarter_num, year,
+    round(sum(revenue), 4) as revenue, round(sum(profit), 4) as profit
+  from s group by year_quarter, year, quarter_num),
+ls as (
+  select 'Revenue' as target, year_quarter, quarter_idx, quarter_num, revenue as v from qs
+  union all select 'Profit', year_quarter, quarter_idx, quarter_num, profit from qs),
+lg as (
+  select *, lag(v, 1) over w as l1, lag(v, 4) over w as l4, lag(v, 5) over w as l5 from ls
+  window w as (partition by target order by quarter_idx))"""
+SEASON = """quarter_idx as trend, quarter_idx * quarter_idx as trend_sq, round(sin(2 * pi() * quarter_num / 4), 8) as q_sin,
+  round(cos(2 * pi() * quarter_num / 4), 8) as q_cos, cast(quarter_num = 4 as int) as is_q4, cast(quarter_num = 1 as int) as is_q1"""
+ID = 'year_quarter as "Year_Quarter", quarter_idx as "Quarter_Idx", quarter_num as "Quarter_Num"'
+
+
+def with_series(body: str, extra: str = "") -> str:
+    return with_sales(body, SERIES + extra)
+
+
+ORACLE["quarter_index"] = with_series('select year as "Year", ' + ID + " from qs")
+ORACLE["quarterly_series"] = with_series(f'select {ID}, revenue as "Revenue", profit as "Profit" from qs')
+ORACLE["product_quarterly_series"] = with_series(f"""
+select product_line as "Product_Line", year_quarter as "Year_Quarter", quarter_idx as "Quarter_Idx",
+  qs.quarter_num as "Quarter_Num", round(sum(s.revenue), 4) as "Revenue", round(sum(s.profit), 4) as "Profit"
+from s join qs using (year_quarter) group by 1, 2, 3, 4""")
+ORACLE["forecast_features"] = with_series(f"""
+select target as "Target", {ID}, v as "Value", l1 as lag1, l4 as lag4, l5 as lag5,
+  round(case when count(l1) over f = 4 then avg(l1) over f end, 4) as roll4_mean,
+  round(coalesce(case when count(l1) over f = 4 then stddev_samp(l1) over f end, 0), 4) as roll4_std,
+  round(l1 / nullif(l5, 0), 8) as yoy_growth, {SEASON}
+from lg window f as (partition by target order by quarter_idx rows between 3 preceding and current row)""")
+ORACLE["next_forecast_row"] = with_series(f"""
+select target as "Target", {ID}, lag1, lag4, lag5, roll4_mean, roll4_std, round(lag1 / lag5, 8) as yoy_growth, {SEASON}
+from (
+  select target, cast(max(quarter_idx) + 1 as int) as quarter_idx,
+    cast(((max(n) + 1) // 4) as varchar) || '-Q' || ((max(n) + 1) % 4 + 1) as year_quarter, cast((max(n) + 1) % 4 + 1 as int) as quarter_num,
+    max(v) filter (rn = 1) as lag1, max(v) filter (rn = 4) as lag4, max(v) filter (rn = 5) as lag5,
+    round(avg(v) filter (rn <= 4), 4) as roll4_mean, round(stddev_samp(v) filter (rn <= 4), 4) as roll4_std
+  from (select *, cast(year_quarter[1:4] as int) * 4 + quarter_num - 1 as n,
+      row_number() over (partition by target order by quarter_idx desc) as rn from ls) group by target)""")
+TRANSFORMS = """,
+tr as (
+  select target, year_quarter, quarter_idx, 'level' as transform, v as x from lg
+  union all select target, year_quarter, quarter_idx, 'log_level', ln(1 + v) from lg
+  union all select target, year_quarter, quarter_idx, 'diff_1', v - l1 from lg
+  union all select target, year_quarter, quarter_idx, 'seasonal_diff_4', v - l4 from lg
+  union all select target, year_quarter, quarter_idx, 'diff_1_and_seasonal_diff_4', (v - l1) - (l4 - l5) from lg)"""
+ORACLE["series_transforms"] = with_series("""
+select target as "Target", year_quarter as "Year_Quarter", quarter_idx as "Quarter_Idx", transform as "Transform",
+  round(x, 6) as "Transformed" from tr""", TRANSFORMS)
+ORACLE["unit_root_stat"] = with_series("""
+select target as "Target", transform as "Transform", round(stat, 6) as "DF_Statistic",
+  coalesce(stat < -2.86, false) as "Stationary", n_obs as "N_Obs"
+from (
+  select target, transform, count(x) as n_obs,
+    case when count(x) >= 8 and min(x) <> max(x) then regr_slope(x - p, p) / sqrt(
+      (regr_syy(x - p, p) - regr_slope(x - p, p) * regr_sxy(x - p, p)) / (regr_count(x - p, p) - 2) / regr_sxx(x - p, p)) end as stat
+  from (select *, lag(x) over (partition by target, transform order by quarter_idx) as p from tr where x is not null)
+  group by 1, 2)""", TRANSFORMS)
+ORACLE["seasonal_profile"] = with_series("""
+select target as "Target", quarter_num as "Quarter_Num", round(avg(v), 4) as "Quarter_Average",
+  round(avg(v) / any_value(m), 8) as "Seasonal_Index"
+from ls join (select target, avg(v) as m from ls group by 1) using (target) group by 1, 2""")
+ORACLE["last_and_trailing_mean"] = with_series("""
+select target as "Target", max(v) filter (rn = 1) as last_value, round(avg(v), 4) as trailing_mean
+from (select *, row_number() over (partition by target order by quarter_idx desc) as rn from ls) where rn <= 4 group by 1""")
+
+# -- forecasting: every fold is a join of its validation quarter with the quarters before it ---------
+PREDICTIONS = f""",
+d as (select *, v / nullif(l4, 0) as g, v - l4 as sd from lg),
+d2 as (select *, lag(sd) over (partition by target order by quarter_idx) as sd1 from d),
+d3 as (select *, sd - sd1 as cd, lag(sd - sd1) over (partition by target order by quarter_idx) as cd1 from d2),
+train as (
+  select o.target, o.quarter_idx as fold, any_value(o.quarter_num) as qn,
+    avg(t.v) filter (t.quarter_num = o.quarter_num) as same_q, avg(t.v) as all_q,
+    coalesce(quantile_cont(t.g, 0.5), 1.0) as g,
+    coalesce(sum(t.sd * t.sd1) / nullif(sum(t.sd1 * t.sd1) filter (t.sd is not null), 0), 0) as phi_sd,
+    coalesce(sum(t.cd * t.cd1) / nullif(sum(t.cd1 * t.cd1) filter (t.cd is not null), 0), 0) as phi_cd,
+    max(t.v) filter (t.quarter_idx = o.quarter_idx - 1) as y1, max(t.v) filter (t.quarter_idx = o.quarter_idx - 4) as y4,
+    max(t.v) filter (t.quarter_idx = o.quarter_idx - 5) as y5, max(t.sd) filter (t.quarter_idx = o.quarter_idx - 1) as sd,
+    max(t.cd) filter (t.quarter_idx = o.quarter_idx - 1) as cd
+  from d3 o join d3 t on o.target = t.target and t.quarter_idx < o.quarter_idx
+  where o.quarter_idx > 12 group by 1, 2),
+pred as (
+  select target, fold, 'SeasonalNaive' as model, '' as ord, '' as sord, coalesce(same_q, all_q) as p from train
+  union all select target, fold, 'SeasonalGrowth', '', '', y4 * g from train
+  union all select target, fold, 'SeasonalRandomWalk', '(0, 1, 0)', '(0, 1, 0, 4)', y1 + y4 - y5 from train
+  union all select target, fold, 'SeasonalAR1_CLS', '(1, 0, 0)', '(0, 1, 0, 4)', y4 + phi_sd * sd from train
+  union all select target, fold, 'SeasonalAR1_CLS', '(1, 1, 0)', '(0, 1, 0, 4)', y1 + y4 - y5 + phi_cd * cd from train),
+err as (select target, model, ord, sord, year_quarter, v, greatest(p, 0) as p
+  from pred join ls using (target) where fold = quarter_idx),
+bt as (
+  select target as "Target", model as "Model", ord as "Order", sord as "Seasonal_Order", year_quarter as "Validation_Quarter",
+    {half_even("v")} as "Actual", {half_even("p")} as "Predicted", {half_even("p - v")} as "Error",
+    {half_even("abs(p - v)")} as "MAE", {half_even("abs(p - v)")} as "RMSE",
+    {half_even("abs(p - v) / greatest(abs(v), 1e-12)", 4)} as "MAPE",
+    {half_even("abs(p - v) / greatest((abs(v) + abs(p)) / 2, 1e-12)", 4)} as "sMAPE",
+    {half_even("p - v")} as "Bias", cast(null as double) as "AIC", cast(null as double) as "BIC", true as "Converged",
+    cast(null as varchar) as error_message
+  from err),
+summ as (
+  select "Target", "Model", "Order", "Seasonal_Order", avg("MAE") as "Backtest_MAE", sqrt(avg("Error" * "Error")) as "Backtest_RMSE",
+    avg("MAPE") as "Backtest_MAPE", avg("sMAPE") as "Backtest_sMAPE", avg("Bias") as "Backtest_Bias",
+    quantile_cont("MAPE", 0.5) as "Median_MAPE", avg("AIC") as "AIC", avg("BIC") as "BIC",
+    count("MAPE") as "N_Backtests", avg(cast("Converged" as int)) as "Converged_Rate"
+  from bt group by 1, 2, 3, 4),
+sel as (
+  select * from (select *, row_number() over (partition by "Target" order by "Backtest_MAPE" nulls last, "Backtest_MAE" nulls last,
+    "AIC" nulls last, "Model", "Order", "Seasonal_Order") as rn from summ) where rn = 1)"""
+for key, model in (("seasonal_naive_backtest", "SeasonalNaive"), ("seasonal_growth_backtest", "SeasonalGrowth"),
+                   ("seasonal_rw_backtest", "SeasonalRandomWalk"), ("seasonal_ar1_backtest", "SeasonalAR1_CLS")):
+    ORACLE[key] = with_series(f"""select * from bt where "Model" = '{model}'""", PREDICTIONS)
+ORACLE["backtest_summary"] = with_series("""
+select "Target", "Model", "Order", "Seasonal_Order", round("Backtest_MAE", 4) as "Backtest_MAE",
+  round("Backtest_RMSE", 4) as "Backtest_RMSE", round("Backtest_MAPE", 8) as "Backtest_MAPE",
+  round("Backtest_sMAPE", 8) as "Backtest_sMAPE", round("Backtest_Bias", 4) as "Backtest_Bias",
+  round("Median_MAPE", 8) as "Median_MAPE", "AIC", "BIC", "N_Backtests", "Converged_Rate" from summ""", PREDICTIONS)
+ORACLE["selected_model"] = with_series('select "Target", "Model", "Order", "Seasonal_Order" from sel', PREDICTIONS)
+ORACLE["selected_backtest"] = with_series(
+    'select bt.* from bt join sel using ("Target", "Model", "Order", "Seasonal_Order")'.replace("bt.*", 'bt.*'), PREDICTIONS)
+# Step-by-step recursion, one row per step, for all models at once.
+RECURSION = PREDICTIONS + """,
+last as (
+  select target, max(quarter_idx) as n, coalesce(quantile_cont(g, 0.5), 1.0) as g,
+    coalesce(sum(sd * sd1) / nullif(sum(sd1 * sd1) filter (sd is not null), 0), 0) as phi_sd,
+    coalesce(sum(cd * cd1) / nullif(sum(cd1 * cd1) filter (cd is not null), 0), 0) as phi_cd,
+    arg_max(cd, quarter_idx) as cd, max(cast(year_quarter[1:4] as int) * 4 + quarter_num - 1) as lab
+  from d3 group by 1),
+naive as (select target, quarter_num, avg(v) as m from ls group by 1, 2),
+recursive_base as (
+  select l.target, m.model, m.ord, m.sord, n, g, phi_sd, phi_cd, cd, lab,
+    (select list(v order by quarter_idx) from ls where ls.target = l.target) as ys
+  from last l cross join (select distinct model, ord, sord from pred) m),
+rec as (
+  with recursive r as (
+    select *, 0 as step from recursive_base
+    union all
+    select target, model, ord, sord, n, g, phi_sd, phi_cd, cd * phi_cd as cd, lab,
+      list_append(ys, case
+        when model = 'SeasonalNaive' then (select m from naive where naive.target = r.target and naive.quarter_num = (lab + step + 1) % 4 + 1)
+        when model = 'SeasonalGrowth' then greatest(ys[len(ys) - 3] * g, 0)
+        when model = 'SeasonalRandomWalk' then ys[len(ys)] + ys[len(ys) - 3] - ys[len(ys) - 4]
+        when ord = '(1, 0, 0)' then ys[len(ys) - 3] + phi_sd * (ys[len(ys)] - ys[len(ys) - 4])
+        else ys[len(ys)] + ys[len(ys) - 3] - ys[len(ys) - 4] + phi_cd * cd end) as ys, step + 1
+    from r where step < 7)
+  select *, greatest(ys[len(ys)], 0) as y from r where step > 0),
+fc as (
+  select rec.target, rec.model, rec.ord, ((lab + step) // 4) || '-Q' || ((lab + step) % 4 + 1) as quarter, cast(n + step as int) as quarter_idx,
+    cast((lab + step) % 4 + 1 as int) as quarter_num, y, b."Backtest_MAPE" as band,
+    case when rec.ord = '' then rec.model else rec.model || rec.ord || 'x' || rec.sord end as label,
+    s2."Model" is not null as chosen
+  from rec join summ b on b."Target" = rec.target and b."Model" = rec.model and b."Order" = rec.ord
+    left join sel s2 on s2."Target" = rec.target and s2."Model" = rec.model and s2."Order" = rec.ord)"""
+FC = {"Predicted": half_even("y"), "CI_Lower": half_even("greatest(y * (1 - band), 0)"), "CI_Upper": half_even("y * (1 + band)"),
+      "Band_Pct": half_even("band", 4)}
+ORACLE["forecast_all_models"] = with_series(f"""
+select target as "Target", quarter as "Quarter", quarter_idx as "Quarter_Idx", quarter_num as "Quarter_Num",
+  label as "Model", {", ".join(f'{e} as "{n}"' for n, e in FC.items())} from fc""", RECURSION)
+
+
+def _wide(target: str) -> str:
+    names = {"Predicted": f"Predicted_{target}", "CI_Lower": f"{target}_CI_Lower", "CI_Upper": f"{target}_CI_Upper",
+             "Band_Pct": f"{target}_Band_Pct"}
+    cells = [f"""max({FC[k]}) filter (target = '{target}') as "{n}\"""" for k, n in names.items()]
+    return ", ".join([*cells, f"""max(label) filter (target = '{target}') as "{target}_Model\""""])
+
+
+ORACLE["forecast_horizon"] = with_series(f"""
+select quarter as "Quarter", quarter_idx as "Quarter_Idx", {_wide("Revenue")}, {_wide("Profit")}
+from fc where chosen group by 1, 2""", RECURSION)
+
+# -- churn ---------------------------------------------------------------------------------------
+from ..functions.fixed import ACTION_OWNERS, ACTION_TEXTS, CHURN_FEATURES, REASON_TEXTS  # noqa: E402
+
+
+def features(snapshots: str, reach: int = 2) -> str:
+    return CUSTOMERS + SERIES + f""",
+f as (select s.*, qs.quarter_idx as q from s join qs using (year_quarter)),
+snap as (select unnest({snapshots}) as s),
+gaps as (
+  select customer_id, s, coalesce(avg(q - p), 0) as avg_gap
+  from (select customer_id, s, q, lag(q) over (partition by customer_id, s order by q) as p
+    from (select distinct customer_id, s, q from f join snap on q <= s)) group by 1, 2),
+h as (
+  select customer_id, s, s - max(q) as recency, s - min(q) + 1 as tenure, count(distinct q) as active_quarters,
+    sum(order_count) as total_orders, sum(revenue) as total_revenue, sum(profit) as total_profit, avg(revenue) as avg_revenue,
+    coalesce(sum(order_count) filter (q >= s), 0) as freq_l1q, coalesce(sum(order_count) filter (q >= s - 1), 0) as freq_l2q,
+    coalesce(sum(order_count) filter (q >= s - 3), 0) as freq_l4q, coalesce(sum(revenue) filter (q >= s), 0) as rev_l1q,
+    coalesce(sum(revenue) filter (q >= s - 1), 0) as rev_l2q, coalesce(sum(revenue) filter (q >= s - 3), 0) as rev_l4q,
+    coalesce(sum(profit) filter (q >= s - 3), 0) as profit_l4q,
+    coalesce(sum(revenue) filter (q >= s - 1), 0) - coalesce(sum(revenue) filter (q in (s - 3, s - 2)), 0) as revenue_trend_2q,
+    count(distinct product_line) as num_products, count(distinct coupon_num) as coupon_diversity,
+    avg(unit_sale_price) as avg_unit_price, avg(quantity_sold) as avg_quantity
+  from f join snap on q <= s group by 1, 2),
+buyers as (select distinct customer_id, s from f join snap on q between s + 1 and s + {reach}),
+x as (
+  select h.*, g.avg_gap, active_quarters / tenure as active_rate, total_profit / nullif(total_revenue, 0) as profit_margin,
+    c.full_name, c.gender, c.education, c.education_rank, c.income, c.income_bucket, c.months_as_member, c.tenure_bucket,
+    c.loyaltystatus, c.loyalty_rank, c.clv, c.clv_segment,
+    case when coalesce(c.income, 0) <= 0 then (select median(income) from dim_customer where income > 0) else c.income end as income_imputed,
+    cast(lower(c.gender) = 'male' as int) as gender_male, cast(b.customer_id is null as int) as y
+  from h join gaps g using (customer_id, s) left join dim_customer c using (customer_id)
+    left join buyers b using (customer_id, s))"""
+
+
+TRAIN_SNAPSHOTS = "range(8, (select max(quarter_idx) - 1 from qs))"
+LAST_SNAPSHOT = "[(select max(quarter_idx) from qs)]"
+DIGITS = {"Avg_Revenue": 10, "Avg_Unit_Price": 8, "Avg_Quantity": 8, "Profit_Margin": 8, "Active_Rate": 8, "Avg_Gap": 8, "CLV": 10}
+FEATURE_SELECT = ", ".join(f'round(coalesce(cast({c.lower()} as double), 0), {DIGITS.get(c, 4)}) as "{c}"' for c in CHURN_FEATURES)
+CARRIED = """customer_id as "Customer_ID", cast(s as int) as "Snapshot_Idx", (s + 1) || '-' || (s + 2) as "Target_Window",
+  full_name as "Full_Name", gender as "Gender", education as "Education", income as "Income", income_bucket as "Income_Bucket",
+  tenure_bucket as "Tenure_Bucket", loyaltystatus as "LoyaltyStatus", clv_segment as "CLV_Segment" """
+Y = 'y as "Y_Churn_Next_2Q"'
+ORACLE["churn_snapshot"] = with_sales(f"select {CARRIED}, {FEATURE_SELECT}, {Y} from x", features("[20]"))
+ORACLE["churn_training_windows"] = with_sales(f"select {CARRIED}, {FEATURE_SELECT}, {Y} from x", features(TRAIN_SNAPSHOTS))
+ORACLE["churn_scoring_snapshot"] = with_sales(f"select {CARRIED}, {FEATURE_SELECT} from x", features(LAST_SNAPSHOT))
+ORACLE["standardizer_stats"] = with_sales("\nunion all ".join(
+    f"""select '{c}' as "Feature", round(avg({e}), 4) as "Mean",
+    round(case when stddev_pop({e}) = 0 then 1 else stddev_pop({e}) end, 4) as "Std" from x"""
+    for c in CHURN_FEATURES for e in [f"coalesce(cast({c.lower()} as double), 0)"]), features("[20]"))
+ORACLE["fixed_segment"] = with_sales("""
+select customer_id as "Customer_ID", cast(recency as int) as "Recency",
+  case when p >= 0.8 or recency >= 8 then 'Critical' when p >= 0.65 then 'High Risk' when p >= 0.45 then 'Medium Risk'
+    when p >= 0.25 then 'Low Risk' else 'Healthy' end as "Churn_Risk_Segment"
+from (select *, cast(customer_id as bigint) * 37 % 1000 / 1000.0::double as p from x)""", features("[20]"))
+
+# -- labels and metrics ----------------------------------------------------------------------------
+LABELS = SERIES + f""",
+f as (select customer_id, quarter_idx as q from s join qs using (year_quarter)),
+snap as (select unnest({TRAIN_SNAPSHOTS}) as s),
+lab as (
+  select customer_id, s, cast(max(cast(q > s as int)) = 0 as int) as y,
+    cast(customer_id as bigint) * 37 % 1000 / 1000.0::double as p37, cast(customer_id as bigint) * 91 % 1000 / 1000.0::double as p91
+  from f join snap on q <= s + 2 group by 1, 2 having min(q) <= s)"""
+
+
+def with_labels(body: str, extra: str = "") -> str:
+    return with_sales(body, LABELS + extra)
+
+
+def rates(source: str, keys: str) -> str:
+    """Rates from a relation with columns tp, tn, fp, fn and the keys."""
+    return f"""
+    select *, 2 * precision * recall / greatest(precision + recall, 1e-12) as f1,
+      2 * npv * specificity / greatest(npv + specificity, 1e-12) as f1_no_churn, (recall + specificity) / 2 as balanced_accuracy,
+      (2 * precision * recall / greatest(precision + recall, 1e-12) + 2 * npv * specificity / greatest(npv + specificity, 1e-12)) / 2 as macro_f1
+    from (select *, (tp + tn) / greatest(tp + tn + fp + fn, 1) as accuracy, tp / greatest(tp + fp, 1) as precision,
+      tp / greatest(tp + fn, 1) as recall, tn / greatest(tn + fp, 1) as specificity, tn / greatest(tn + fn, 1) as npv
+      from {source})"""
+
+
+def counts(score: str, threshold: str, keys: str, source: str = "lab") -> str:
+    group = f"group by {keys}" if keys else ""
+    lead = f"{keys}, " if keys else ""
+    return f"""(select {lead}count(*) filter (y = 1 and {score} >= {threshold}) as tp,
+      count(*) filter (y = 0 and {score} < {threshold}) as tn, count(*) filter (y = 0 and {score} >= {threshold}) as fp,
+      count(*) filter (y = 1 and {score} < {threshold}) as fn, avg(power({score} - y, 2)) as brier from {source} {group})"""
+
+
+RATE_NAMES = ("accuracy", "precision", "recall", "specificity", "npv", "f1", "f1_no_churn", "balanced_accuracy", "macro_f1")
+RATE_SELECT = ", ".join(f"round({c}, 10) as {c}" for c in RATE_NAMES)
+ORACLE["churn_label_rate"] = with_labels("""
+select cast(s as int) as "Snapshot_Idx", count(*) as rows_, round(avg(y), 10) as churn_rate from lab group by 1""")
+ORACLE["validation_folds"] = with_labels("""
+select distinct cast(s as int) as "Snapshot_Idx" from lab order by 1 desc limit 4""")
+ORACLE["binary_metrics"] = with_labels(f"""
+select cast(s as int) as "Snapshot_Idx", {RATE_SELECT}, round(brier, 10) as brier, 0.5::double as threshold, tp, tn, fp, fn
+from ({rates(counts("p37", "0.5", "s"), "s")})""")
+ORACLE["confusion_matrix"] = with_labels(f"""
+select 'Actual 0' as "Actual", tn as "Predicted 0", fp as "Predicted 1" from {counts("p37", "0.5", "")}
+union all select 'Actual 1', fn, tp from {counts("p37", "0.5", "")}""")
+
+
+def auc_sql(score: str, keys: str) -> str:
+    """Midrank form of the rank-sum statistic."""
+    return f"""
+    select {keys}, (sum(r) filter (y = 1) - count(*) filter (y = 1) * (count(*) filter (y = 1) + 1) / 2.0)
+      / (cast(count(*) filter (y = 1) as double) * count(*) filter (y = 0)) as auc_roc
+    from (select *, rank() over (partition by {keys} order by {score})
+      + (count(*) over (partition by {keys}, {score}) - 1) / 2.0 as r from lab) group by {keys}"""
+
+
+def lift_sql(score: str, keys: str) -> str:
+    """Ties at the cut share their positives evenly."""
+    return f"""
+    select {keys}, sum(y * least(1, greatest(0, (k - before) / ties))) / any_value(k) / greatest(avg(y), 1e-12) as lift_top_10pct
+    from (select *, greatest(ceil(count(*) over (partition by {keys}) * 0.1::double), 1) as k,
+      rank() over (partition by {keys} order by {score} desc) - 1 as before,
+      count(*) over (partition by {keys}, {score}) as ties from lab) group by {keys}"""
+
+
+ORACLE["auc"] = with_labels(f"""
+select cast(s as int) as "Snapshot_Idx", round(auc_roc, 10) as auc_roc from ({auc_sql("p37", "s")})""")
+ORACLE["lift_at_10"] = with_labels(f"""
+select cast(s as int) as "Snapshot_Idx", round(lift_top_10pct, 10) as lift_top_10pct from ({lift_sql("p37", "s")})""")
+GRID = [0.05 + 0.05 * i for i in range(19)]
+ORACLE["best_threshold"] = with_labels(f"""
+select round(threshold, 10) as threshold, round(least(0.95, threshold + 0.003), 10) as operating_threshold,
+  round(balanced_accuracy + 3.0 * macro_f1 + least(recall, specificity), 10) as objective,
+  round(least(recall, specificity), 10) as class_balance_floor, round(balanced_accuracy, 10) as balanced_accuracy,
+  round(macro_f1, 10) as macro_f1, round(brier, 10) as brier
+from ({rates(counts("p37", "threshold", "threshold", "lab cross join grid"), "threshold")})
+order by balanced_accuracy + 3.0 * macro_f1 + least(recall, specificity) desc, least(recall, specificity) desc,
+  balanced_accuracy desc, macro_f1 desc, threshold desc limit 1""", f""",
+grid as (
+  select unnest([{", ".join(f"{g!r}::double" for g in GRID)}]) as threshold
+  union select unnest((select quantile_cont(p37, [{", ".join(repr(g) for g in GRID)}]) from lab)))""")
+_RANKED = ("accuracy", "balanced_accuracy", "macro_f1", "f1", "f1_no_churn", "precision", "recall", "specificity", "npv",
+           "auc_roc", "lift_top_10pct", "brier")
+
+
+def _model(name: str, score: str) -> str:
+    return f"""select '{name}' as model, m.*, a.auc_roc, l.lift_top_10pct from ({rates(counts(score, "0.25", "s"), "s")}) m
+      join ({auc_sql(score, "s")}) a using (s) join ({lift_sql(score, "s")}) l using (s)
+      where s in (select distinct s from lab order by s desc limit 4)"""
+
+
+ORACLE["model_ranking"] = with_labels(f"""
+select model as "Model", {", ".join(f"round(avg({c}), 10) as {c}" for c in _RANKED)}, 0.25::double as threshold,
+  count(*) as "N_Backtests", round(least(avg(recall), avg(specificity)), 10) as class_balance_floor,
+  avg(recall) >= 0.6 and avg(specificity) >= 0.2 as eligible_for_champion
+from ({_model("score_37", "p37")} union all by name {_model("score_91", "p91")}) group by 1""")
+
+# -- scored customers ------------------------------------------------------------------------------
+_OWNER = " ".join(f"when '{k}' then '{v}'" for k, v in ACTION_OWNERS.items())
+_TEXT = " ".join(f"when '{k}' then '{v}'" for k, v in ACTION_TEXTS.items())
+SCORED = features(LAST_SNAPSHOT) + f""",
+scored as (
+  select *, cast(p >= 0.5 as int) as predicted,
+    case when p >= 0.7 then 'Critical' when p >= 0.5 then 'High Risk' when p >= 0.375 then 'Medium Risk'
+      when p >= 0.25 then 'Low Risk' else 'Healthy' end as segment,
+    p * total_revenue as at_risk, p * ln(1 + greatest(clv, 0)) as priority,
+    array_to_string(list_filter([
+      case when recency >= 4 then '{REASON_TEXTS["inactive"]}' end,
+      case when rev_l4q <= 0 then '{REASON_TEXTS["no_recent_revenue"]}' end,
+      case when clv >= (select median(clv) from x) then '{REASON_TEXTS["high_value"]}' end,
+      case when active_quarters <= 1 then '{REASON_TEXTS["thin_history"]}' end], r -> r is not null)[1:3], ', ') as reason
+  from (select *, cast(customer_id as bigint) * 37 % 1000 / 1000.0::double as p from x))"""
+_NUM = ("Loyalty_Rank", "Recency", "Tenure", "Active_Quarters", "Total_Orders", "Total_Revenue", "Total_Profit", "Rev_L4Q", "Freq_L4Q")
+ORACLE["scored_customers"] = with_sales(f"""
+select customer_id as "Customer_ID", full_name as "Full_Name", cast(s as int) as "Snapshot_Idx", loyaltystatus as "LoyaltyStatus",
+  clv as "CLV", clv_segment as "CLV_Segment", income_bucket as "Income_Bucket", tenure_bucket as "Tenure_Bucket",
+  {", ".join(f'round(cast({c.lower()} as double), 4) as "{c}"' for c in _NUM)}, p as "Churn_Probability_Next_2Q",
+  predicted as "Predicted_Churn", segment as "Churn_Risk_Segment", round(at_risk, 4) as "Expected_Revenue_At_Risk",
+  round(priority, 8) as "Retention_Priority_Score", case segment {_OWNER} end as "Action_Owner",
+  case segment {_TEXT} end as "Recommended_Action",
+  case when reason = '' then '{REASON_TEXTS["default"]}' else reason end as "Action_Reason"
+from scored""", SCORED)
+ORACLE["high_risk_list"] = with_sales(f"""
+select customer_id as "Customer_ID", segment as "Churn_Risk_Segment", case segment {_OWNER} end as "Action_Owner"
+from scored where segment in ('Critical', 'High Risk')""", SCORED)
+ORACLE["head_5000"] = with_sales("""
+select customer_id as "Customer_ID", predicted as "Predicted_Churn" from scored
+order by predicted desc, priority desc, p desc, customer_id limit 5000""", SCORED)
+ORACLE["top_n_at_risk"] = with_sales("""
+select cast(row_number() over w as int) as "Rank", customer_id as "Customer_ID", segment as "Churn_Risk_Segment",
+  round(at_risk, 2) as "Expected_Revenue_At_Risk",
+  round(sum(at_risk) over (order by at_risk desc, customer_id rows unbounded preceding), 2) as "Cumulative_Revenue_At_Risk"
+from scored window w as (order by at_risk desc, customer_id) order by at_risk desc, customer_id limit 1000""", SCORED)
+
+# -- insights --------------------------------------------------------------------------------------
+_TOTALS = """sum(revenue) as revenue, sum(profit) as profit, cast(sum(order_count) as bigint) as orders,
+  sum(quantity_sold) as quantity, count(distinct customer_id) as customers"""
+
+
+def totals(dim: str = "") -> str:
+    lead = f"{dim}, " if dim else ""
+    return f""",
+t as (select year_quarter, year * 4 + quarter_num as q, {lead}{_TOTALS} from s group by all),
+j as (select t.*, p.revenue as p_revenue, p.orders as p_orders, p.customers as p_customers, p.quantity as p_quantity
+  from t left join t p on t.q = p.q + 4 {f"and t.{dim} = p.{dim}" if dim else ""})"""
+
+
+def yoy(a: str, b: str, digits: int = 4) -> str:
+    return f"round(({a} - {b}) / nullif({b}, 0) * 100, {digits})"
+
+
+_DRIVER = ", ".join(f'{yoy(c, "p_" + c)} as "{c.title()}_YoY_Pct"' for c in ("revenue", "orders", "customers"))
+ORACLE["yoy_drivers"] = with_sales(f"""
+select year_quarter as "Year_Quarter", round(revenue, 4) as "Revenue", orders as "Orders", customers as "Customers",
+  round(revenue / orders, 6) as "AOV", round(p_revenue, 4) as "Prior_Revenue", p_orders as "Prior_Orders",
+  p_customers as "Prior_Customers", round(p_revenue / p_orders, 6) as "Prior_AOV", {_DRIVER},
+  {yoy("revenue / orders", "(p_revenue / p_orders)")} as "AOV_YoY_Pct" from j""", totals())
+for key, dim, name in (("yoy_by_country", "country", "Country"), ("yoy_by_product", "product_line", "Product_Line")):
+    ORACLE[key] = with_sales(f"""
+select year_quarter as "Year_Quarter", {dim} as "{name}", round(revenue, 4) as "Revenue", orders as "Orders",
+  customers as "Customers", {_DRIVER} from j""", totals(dim))
+ORACLE["price_quantity_split"] = with_sales(f"""
+select year_quarter as "Year_Quarter", product_line as "Product_Line", round(revenue / quantity, 6) as "Weighted_Unit_Price",
+  round(quantity / orders, 6) as "Quantity_Per_Order",
+  {yoy("revenue / quantity", "(p_revenue / p_quantity)", 6)} as "Weighted_Unit_Price_YoY_Pct",
+  {yoy("quantity / orders", "(p_quantity / p_orders)", 6)} as "Quantity_Per_Order_YoY_Pct" from j""", totals("product_line"))
+ORACLE["mix_shift"] = with_sales("""
+select a.year_quarter as "Year_Quarter", a.product_line as "Product_Line", round(a.revenue, 4) as "Revenue",
+  round(a.share, 8) as "Revenue_Share_Pct", round(a.share - b.share, 8) as "Share_Shift_Points"
+from sh a left join sh b on a.q = b.q + 4 and a.product_line = b.product_line""", totals("product_line") + """,
+sh as (select *, revenue / sum(revenue) over (partition by q) * 100 as share from t)""")
+ORACLE["revenue_share"] = with_sales("""
+select loyaltystatus as "LoyaltyStatus", round(sum(revenue), 4) as "Revenue", round(sum(profit), 4) as "Profit",
+  cast(sum(order_count) as bigint) as "Orders", count(distinct customer_id) as "Customers",
+  round(sum(revenue) / (select sum(revenue) from s) * 100, 4) as "Revenue_Share_Pct",
+  round(sum(revenue) / sum(order_count), 4) as "AOV", round(sum(revenue) / count(distinct customer_id), 4) as "Revenue_Per_Customer"
+from s group by 1""")
+ORACLE["new_vs_returning"] = with_sales("""
+select year_quarter as "Year_Quarter", case when q = first_q then 'New' else 'Returning' end as "Customer_Type",
+  round(sum(revenue), 4) as "Revenue", cast(sum(order_count) as bigint) as "Orders", count(distinct customer_id) as "Customers"
+from (select *, year * 4 + quarter_num as q, min(year * 4 + quarter_num) over (partition by customer_id) as first_q from s)
+group by 1, 2""")
+ORACLE["top_n_concentration"] = with_sales("""
+select year_quarter as "Year_Quarter", round(sum(revenue), 4) as "Revenue", count(*) as "Transactions",
+  round(sum(revenue) filter (rn <= 500), 4) as "Top_Revenue", round(sum(revenue) filter (rn <= 500) / sum(revenue) * 100, 8) as "Top_Share_Pct"
+from (select *, row_number() over (partition by year_quarter order by revenue desc) as rn from s) group by 1""")
+_EXTRACT = """round(sum(revenue), 4) as "Revenue", round(sum(profit), 4) as "Profit", cast(sum(order_count) as bigint) as "Orders",
+  sum(quantity_sold) as "Quantity", round(avg(unit_sale_price), 8) as "Avg_Unit_Price",
+  round(sum(profit) / nullif(sum(revenue), 0) * 100, 4) as "Profit_Margin_Pct", round(sum(revenue) / sum(order_count), 8) as "AOV" """
+ORACLE["product_by_quarter"] = with_sales(
+    f'select product_line as "Product_Line", year_quarter as "Year_Quarter", {_EXTRACT} from s group by 1, 2')
+ORACLE["loyalty_by_quarter"] = with_sales(
+    f'select loyaltystatus as "LoyaltyStatus", year_quarter as "Year_Quarter", {_EXTRACT} from s group by 1, 2')
+ORACLE["sales_by_year"] = with_sales(f'select year as "Year", {_EXTRACT} from s group by 1')
+ORACLE["product_quarter_pivot"] = with_sales("""
+select product_line as "Product_Line", round(sum(revenue) filter (quarter = 'Q1'), 4) as "Q1",
+  round(sum(revenue) filter (quarter = 'Q2'), 4) as "Q2", round(sum(revenue) filter (quarter = 'Q3'), 4) as "Q3",
+  round(sum(revenue) filter (quarter = 'Q4'), 4) as "Q4" from s group by 1""")

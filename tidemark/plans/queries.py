@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.fixed import CHURN_FEATURES
 from ..functions.numeric import col
-from ..operators import aggregates, quality, sales, star
+from ..functions.quarters import first_digit
+from ..operators import (
+    aggregates, churn, classifiers, forecasting, insights, metrics, quality, sales, scoring, series, star,
+)
+from ..operators.scale import lookup_join
+from ..session import materialize
 from ..sources.sample_tables import sales_raw
 from . import marts
 
@@ -23,11 +29,10 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.enrich_sales(clean(spark, sf_dir))
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
     """Round doubles so that results do not depend on the order of summation."""
-    return df.withColumns(
-        {f.name: F.round(F.col(f"`{f.name}`"), digits) for f in df.schema.fields if f.dataType.simpleString() == "double"}
-    )
+    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
+    return df.withColumns({c: F.round(F.col(f"`{c}`"), special.get(c, digits)) for c in doubles})
 
 
 def snake(df: DataFrame) -> DataFrame:
@@ -158,7 +163,8 @@ def _aggregate(name: str) -> Query:
 # -- marts and validations ---------------------------------------------------------------------
 
 def _fact(spark, d, *columns):
-    return star.fact_rows(rows(spark, d, *dict.fromkeys(columns)))
+    """Curated fact columns derived from the given raw columns."""
+    return star.fact_columns(rows(spark, d, *dict.fromkeys(columns)))
 
 
 def _tables(spark, d, text: str) -> dict[str, DataFrame]:
@@ -172,12 +178,14 @@ def _tables(spark, d, text: str) -> dict[str, DataFrame]:
     if "fact_sales" in needed:
         columns = ["Loyalty#", *TIME, *MEASURES]
         columns += ["LoyaltyStatus"] if "sales_by_loyalty" in needed else []
-        columns += ["Product Line"] if "dim_product" in needed else []
-        out["fact_sales"] = star.with_partition_column(_fact(spark, d, *columns), "Year", "partition_year")
+        fact = _fact(spark, d, *columns, *(["Product Line"] if "dim_product" in needed else []))
+        out["fact_sales"] = star.with_partition_column(fact, "Year", "partition_year")
     if "dim_customer" in needed:
         out["dim_customer"] = dim_customer(spark, d)
     if "dim_product" in needed:
-        out["dim_product"] = star.product_ids(rows(spark, d, "Product Line"))
+        ids = star.product_ids(rows(spark, d, "Product Line"))
+        out["dim_product"] = ids
+        out["fact_sales"] = lookup_join(out["fact_sales"], ids, "Product_Line")
     if "dim_date" in needed:
         out["dim_date"] = dim_date(spark, d)
     if "dim_geography" in needed:
@@ -218,13 +226,347 @@ def model_input_report(spark, d):
     return quality.model_input_report(fact, dim_customer(spark, d))
 
 
+# -- series and forecasting --------------------------------------------------------------------
+
+def _quarterly(spark, d) -> DataFrame:
+    return rounded(series.quarterly_series(_fact(spark, d, *TIME, *MEASURES)))
+
+
+def _long(spark, d) -> DataFrame:
+    return series.long_series(_quarterly(spark, d))
+
+
+def quarter_index(spark, d):
+    return series.quarter_calendar(_fact(spark, d, *TIME))
+
+
+def quarterly_series(spark, d):
+    return _quarterly(spark, d)
+
+
+def product_quarterly_series(spark, d):
+    """One series per product line from the same plan."""
+    return rounded(series.quarterly_series(_fact(spark, d, *TIME, *MEASURES, "Product Line"), keys=["Product_Line"]))
+
+
+def forecast_features(spark, d):
+    return rounded(series.forecast_features(_long(spark, d)), 4, yoy_growth=8, q_sin=8, q_cos=8)
+
+
+def next_forecast_row(spark, d):
+    return rounded(series.next_forecast_row(_long(spark, d)), 4, yoy_growth=8, q_sin=8, q_cos=8)
+
+
+def series_transforms(spark, d):
+    return rounded(series.series_transforms(_long(spark, d)), 6)
+
+
+def unit_root_stat(spark, d):
+    return rounded(series.stationarity_diagnostics(_long(spark, d)), 6)
+
+
+def seasonal_profile(spark, d):
+    return rounded(series.seasonal_profile(_long(spark, d)), 4, Seasonal_Index=8)
+
+
+def last_and_trailing_mean(spark, d):
+    return rounded(metrics.trailing_mean_and_last(_long(spark, d), ["Target"], "Quarter_Idx", "Value"))
+
+
+def _backtest(model: str | None = None) -> Query:
+    def run(spark, d):
+        out = forecasting.backtest(_long(spark, d))
+        return out if model is None else out.where(F.col("Model") == model)
+    return run
+
+
+def backtest_summary(spark, d):
+    return rounded(forecasting.backtest_summary(forecasting.backtest(_long(spark, d))), 4,
+                   Backtest_MAPE=8, Backtest_sMAPE=8, Median_MAPE=8)
+
+
+def selected_model(spark, d):
+    summary = forecasting.backtest_summary(forecasting.backtest(_long(spark, d)))
+    return forecasting.selected_models(summary).select("Target", *forecasting.MODEL_KEY)
+
+
+def selected_backtest(spark, d):
+    runs = forecasting.backtest(_long(spark, d))
+    return forecasting.selected_backtest(runs, forecasting.selected_models(forecasting.backtest_summary(runs)))
+
+
+def forecast_horizon(spark, d):
+    """Seven quarters of the selected model, both targets side by side."""
+    long = _long(spark, d)
+    selected = forecasting.selected_models(forecasting.backtest_summary(forecasting.backtest(long)))
+    return forecasting.wide_forecast(forecasting.forecast(long, selected))
+
+
+def forecast_all_models(spark, d):
+    """Seven quarters of every model, as if each had been selected."""
+    long = _long(spark, d)
+    summary = forecasting.backtest_summary(forecasting.backtest(long))
+    named = long.withColumn("Model_Key", F.explode(F.array(*[
+        F.lit(f"{m}|{o}") for m, o, _ in forecasting.MODELS])))
+    chosen = summary.withColumn("Model_Key", F.concat("Model", F.lit("|"), "Order"))
+    keys = ["Target", "Model_Key"]
+    return forecasting.forecast(named, chosen, keys=keys).drop("Model_Key")
+
+
+# -- churn -------------------------------------------------------------------------------------
+
+CHURN_INPUTS = ("Loyalty#", *TIME, *MEASURES, "Product Line", "Coupon Response")
+SNAPSHOT = 20
+
+
+def _churn_fact(spark, d) -> DataFrame:
+    fact = _fact(spark, d, *CHURN_INPUTS)
+    return fact.withColumn("Coupon_Num", first_digit("Coupon_Response"))
+
+
+FEATURE_DIGITS = dict(
+    Avg_Revenue=10, Avg_Unit_Price=8, Avg_Quantity=8, Profit_Margin=8, Active_Rate=8, Avg_Gap=8, CLV=10,
+)
+
+
+def churn_snapshot(spark, d):
+    return rounded(churn.churn_features(_churn_fact(spark, d), dim_customer(spark, d), [SNAPSHOT]), 4, **FEATURE_DIGITS)
+
+
+def churn_training_windows(spark, d):
+    return rounded(churn.training_windows(_churn_fact(spark, d), dim_customer(spark, d)), 4, **FEATURE_DIGITS)
+
+
+def churn_scoring_snapshot(spark, d):
+    return rounded(churn.scoring_snapshot(_churn_fact(spark, d), dim_customer(spark, d)), 4, **FEATURE_DIGITS)
+
+
+def _labels(spark, d) -> DataFrame:
+    """Label of every customer and training snapshot."""
+    fact = _fact(spark, d, *CHURN_INPUTS).withColumn("Coupon_Num", F.lit(1))
+    calendar = series.quarter_calendar(fact)
+    snapshots = churn.training_snapshots(churn.last_quarter(calendar))
+    labels = churn.history_features(fact, snapshots, calendar=calendar)
+    return labels.select("Customer_ID", "Snapshot_Idx", churn.LABEL)
+
+
+def _given_score(factor: int):
+    """A score that needs no trained model: a fixed function of the customer key."""
+    return ((F.col("Customer_ID").cast("bigint") * factor) % 1000) / F.lit(1000.0)
+
+
+def _scored_labels(spark, d) -> DataFrame:
+    return _labels(spark, d).withColumn("score", _given_score(37))
+
+
+def churn_label_rate(spark, d):
+    return rounded(_labels(spark, d).groupBy("Snapshot_Idx").agg(
+        F.count("*").alias("rows_"), F.avg(churn.LABEL).alias("churn_rate")), 10)
+
+
+def validation_folds(spark, d):
+    return metrics.validation_snapshots(_labels(spark, d))
+
+
+def binary_metrics(spark, d):
+    return rounded(metrics.binary_metrics(_scored_labels(spark, d), churn.LABEL, "score", 0.5, ["Snapshot_Idx"]), 10)
+
+
+def confusion_matrix(spark, d):
+    return metrics.confusion_matrix(metrics.binary_metrics(_scored_labels(spark, d), churn.LABEL, "score", 0.5))
+
+
+def auc(spark, d):
+    return rounded(metrics.auc(_scored_labels(spark, d), churn.LABEL, "score", ["Snapshot_Idx"]), 10)
+
+
+def lift_at_10(spark, d):
+    return rounded(metrics.lift_at_k(_scored_labels(spark, d), churn.LABEL, "score", 0.10, ["Snapshot_Idx"]), 10)
+
+
+def best_threshold(spark, d):
+    return rounded(metrics.best_threshold(_scored_labels(spark, d), churn.LABEL, "score"), 10)
+
+
+def model_ranking(spark, d):
+    """Two given scores compared over the last four snapshots."""
+    labels = _labels(spark, d)
+    recent = metrics.validation_snapshots(labels)
+    both = lookup_join(labels, recent, "Snapshot_Idx", "inner").withColumn("parts", F.array(
+        F.struct(F.lit("score_37").alias("Model"), _given_score(37).alias("score")),
+        F.struct(F.lit("score_91").alias("Model"), _given_score(91).alias("score")),
+    )).select("Snapshot_Idx", churn.LABEL, F.inline("parts"))
+    by = ["Model", "Snapshot_Idx"]
+    ladder = metrics.score_ladder(both, churn.LABEL, "score", by)
+    folds = (
+        metrics.binary_metrics(both, churn.LABEL, "score", 0.25, by)
+        .join(metrics.auc_from_ladder(ladder, by), by).join(metrics.lift_from_ladder(ladder, 0.10, by), by)
+        .withColumnRenamed("Snapshot_Idx", "Validation_Snapshot")
+    )
+    return rounded(metrics.model_ranking(folds), 10)
+
+
+def standardizer_stats(spark, d):
+    features = churn.churn_features(_churn_fact(spark, d), dim_customer(spark, d), [SNAPSHOT])
+    return rounded(metrics.standardizer_stats(features, CHURN_FEATURES), 4)
+
+
+# -- scoring -----------------------------------------------------------------------------------
+
+THRESHOLD = 0.5
+
+
+def _scored(spark, d) -> DataFrame:
+    features = churn.scoring_snapshot(_churn_fact(spark, d), dim_customer(spark, d))
+    return scoring.score_customers(features.withColumn("score", _given_score(37)), THRESHOLD, "score")
+
+
+def scored_customers(spark, d):
+    return rounded(_scored(spark, d), 4, CLV=10, Retention_Priority_Score=8)
+
+
+def high_risk_list(spark, d):
+    return scoring.high_risk(_scored(spark, d)).select("Customer_ID", "Churn_Risk_Segment", "Action_Owner")
+
+
+def head_5000(spark, d):
+    return scoring.head_of_list(_scored(spark, d), 5000).select("Customer_ID", "Predicted_Churn")
+
+
+def top_n_at_risk(spark, d):
+    return rounded(scoring.top_at_risk(_scored(spark, d), 1000), 2)
+
+
+def fixed_segment(spark, d):
+    df = churn.history_features(_churn_fact(spark, d), [SNAPSHOT], scoring_only=True)
+    df = df.withColumn(scoring.PROBABILITY, _given_score(37))
+    return df.select("Customer_ID", "Recency", scoring.fixed_segment().alias("Churn_Risk_Segment"))
+
+
+# -- trained models (no SQL twin) --------------------------------------------------------------
+
+def _windows(spark, d) -> DataFrame:
+    return materialize(churn.training_windows(_churn_fact(spark, d), dim_customer(spark, d)), "churn-windows")
+
+
+def _trained(name: str) -> Query:
+    candidate = next(c for c in classifiers.CANDIDATES if c.name == name)
+
+    def run(spark, d):
+        windows = _windows(spark, d)
+        newest = windows.agg(F.max("Snapshot_Idx")).first()[0]
+        return classifiers.fold_metrics(windows, newest, candidate)[2]
+    return run
+
+
+def feature_importance(spark, d):
+    windows = _windows(spark, d)
+    model = classifiers.fit(windows, classifiers.CANDIDATES[0])
+    return classifiers.feature_importance(model, windows, classifiers.CANDIDATES[0].name)
+
+
+def churn_pipeline(spark, d):
+    """Logistic candidates compared over four folds, champion refitted, newest customers ranked."""
+    fact, people = _churn_fact(spark, d), dim_customer(spark, d)
+    result = classifiers.train_and_score(
+        churn.training_windows(fact, people), churn.scoring_snapshot(fact, people), classifiers.CANDIDATES[:3]
+    )
+    return scoring.score_customers(result.scored, result.threshold)
+
+
+def ridge(spark, d):
+    """Next-quarter style regression of revenue on its lag features over product series."""
+    long = series.long_series(series.quarterly_series(
+        _fact(spark, d, *TIME, *MEASURES, "Product Line"), keys=["Product_Line"]))
+    data = series.forecast_features(long, ["Product_Line", "Target"]).dropna(subset=["lag5", "yoy_growth", "roll4_mean"])
+    names = ["lag1", "lag4", "lag5", "roll4_mean", "roll4_std", "yoy_growth", "trend", "trend_sq", "q_sin", "q_cos",
+             "is_q4", "is_q1"]
+    model = classifiers.ridge(data, names, "Value")
+    return spark.createDataFrame(
+        [(n, float(c)) for n, c in zip(["intercept", *names], [model.intercept, *model.coefficients])],
+        "Feature string, Coefficient double",
+    )
+
+
+# -- insights ----------------------------------------------------------------------------------
+
+def yoy_drivers(spark, d):
+    return rounded(insights.yoy_drivers(_fact(spark, d, "Loyalty#", *TIME, *MEASURES)), 4, AOV=6, Prior_AOV=6)
+
+
+def price_quantity_split(spark, d):
+    return rounded(insights.price_quantity_split(_fact(spark, d, *TIME, *MEASURES, "Product Line"), ["Product_Line"]), 6)
+
+
+def yoy_by_country(spark, d):
+    df = rows(spark, d, "Loyalty#", *TIME, *MEASURES, "Country")
+    fact = star.project(df, {**{s: t for s, t in star.FACT_COLUMNS.items() if s in df.columns}, "Country": "Country"})
+    return rounded(insights.yoy_by(fact, "Country"))
+
+
+def yoy_by_product(spark, d):
+    return rounded(insights.yoy_by(_fact(spark, d, "Loyalty#", *TIME, *MEASURES, "Product Line"), "Product_Line"))
+
+
+def mix_shift(spark, d):
+    return rounded(insights.mix_shift(_fact(spark, d, *TIME, *MEASURES, "Product Line"), "Product_Line"), 4,
+                   Revenue_Share_Pct=8, Share_Shift_Points=8)
+
+
+def revenue_share(spark, d):
+    fact = _fact(spark, d, "Loyalty#", *TIME, *MEASURES, "LoyaltyStatus")
+    return rounded(insights.revenue_share(fact, "LoyaltyStatus"), 4)
+
+
+def new_vs_returning(spark, d):
+    return rounded(insights.new_vs_returning(_fact(spark, d, "Loyalty#", *TIME, *MEASURES)))
+
+
+def top_n_concentration(spark, d):
+    return rounded(insights.top_n_concentration(_fact(spark, d, *TIME, "Revenue")), 4, Top_Share_Pct=8)
+
+
+def product_by_quarter(spark, d):
+    fact = _fact(spark, d, *TIME, *MEASURES, "Product Line")
+    return rounded(insights.dashboard_extract(fact, ["Product_Line", "Year_Quarter"]), 4, Avg_Unit_Price=8, AOV=8)
+
+
+def loyalty_by_quarter(spark, d):
+    fact = _fact(spark, d, *TIME, *MEASURES, "LoyaltyStatus")
+    return rounded(insights.dashboard_extract(fact, ["LoyaltyStatus", "Year_Quarter"]), 4, Avg_Unit_Price=8, AOV=8)
+
+
+def sales_by_year(spark, d):
+    return rounded(insights.dashboard_extract(_fact(spark, d, *TIME, *MEASURES), ["Year"]), 4, Avg_Unit_Price=8, AOV=8)
+
+
+def product_quarter_pivot(spark, d):
+    fact = _fact(spark, d, *TIME, *MEASURES, "Product Line")
+    return rounded(insights.revenue_pivot(fact, "Product_Line", "Quarter", ["Q1", "Q2", "Q3", "Q4"]))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         clean_sales, enrich_sales, sales_metrics, income_bucket, tenure_bucket, clv_segment, coupon_rank, geo_keys,
         accepted_quarter_except, dim_date, dim_product, dim_geography, dim_customer, fact_sales, partition_columns,
-        dq_report, model_input_report,
+        dq_report, model_input_report, quarter_index, quarterly_series, product_quarterly_series, forecast_features,
+        next_forecast_row, series_transforms, unit_root_stat, seasonal_profile, last_and_trailing_mean,
+        backtest_summary, selected_model, selected_backtest, forecast_horizon, forecast_all_models, churn_snapshot,
+        churn_training_windows, churn_scoring_snapshot, churn_label_rate, validation_folds, binary_metrics,
+        confusion_matrix, auc, lift_at_10, best_threshold, model_ranking, standardizer_stats, scored_customers,
+        high_risk_list, head_5000, top_n_at_risk, fixed_segment, feature_importance, churn_pipeline, ridge,
+        yoy_drivers, price_quantity_split, yoy_by_country, yoy_by_product, mix_shift, revenue_share, new_vs_returning,
+        top_n_concentration, product_by_quarter, loyalty_by_quarter, sales_by_year, product_quarter_pivot,
     )
 }
 QUERIES.update({name: _aggregate(name) for name in _AGG_INPUTS})
 QUERIES.update({name: _mart(name) for name in marts.MARTS})
 QUERIES.update({name: _validation(name) for name in marts.VALIDATIONS})
+QUERIES.update({
+    "seasonal_naive_backtest": _backtest("SeasonalNaive"),
+    "seasonal_growth_backtest": _backtest("SeasonalGrowth"),
+    "seasonal_rw_backtest": _backtest("SeasonalRandomWalk"),
+    "seasonal_ar1_backtest": _backtest("SeasonalAR1_CLS"),
+    "churn_logistic": _trained("Logistic_Balanced"),
+    "churn_gbt": _trained("GBT_Regularized"),
+})
