@@ -24,9 +24,10 @@ def round_half_up(c: Column | str, digits: int = 2, guard: int = 2) -> Column:
     return F.round(F.round(col(c), digits + guard), digits)
 
 
-def round_half_even(c: Column | str, digits: int = 2, guard: int = 6) -> Column:
-    """Round ties to the even digit, after dropping floating-point noise far below them."""
-    return F.bround(F.round(col(c), digits + guard), digits)
+def round_half_even(c: Column | str, digits: int = 2) -> Column:
+    """Round ties to the even digit in plain double arithmetic, which stays in generated code."""
+    unit = float(10**digits)
+    return F.rint(col(c) * unit) / unit
 
 
 def pct(numerator: Column | str, denominator: Column | str) -> Column:

@@ -9,9 +9,16 @@ from pyspark.sql import types as T
 from .numeric import col
 
 
+# Characters that count as white space at either end of a text.
+WHITE_SPACE = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)))
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
 def key_text(c: Column | str, data_type: T.DataType) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from ..session import materialize
 
 LOOKUP_ROWS = 100_000
 LOOKUP_BYTES = 8 * 1024 * 1024
+LITERAL_ROWS = 64
 EXACT_DISTINCT = 1_000_000
 BUCKETS = 256
 
@@ -34,11 +36,21 @@ def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOO
 def lookup_join(
     df: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left", max_rows: int = LOOKUP_ROWS
 ) -> DataFrame:
-    """Join a derived lookup: broadcast when its measured size allows, else a shuffled join (AQE splits skew)."""
+    """Join a derived lookup by measured size.
+
+    A handful of key-value pairs becomes a literal map (no join), a small table is broadcast, and
+    anything larger is a shuffled join in which AQE splits skewed keys.
+    """
     small = small_table(lookup, max_rows)
-    if small is not None:
-        return df.join(F.broadcast(small), on, how)
-    return df.join(lookup, on, how)
+    if small is None:
+        return df.join(lookup, on, how)
+    values = [c for c in lookup.columns if c != on]
+    if how == "left" and isinstance(on, str) and len(values) == 1:
+        pairs = small.where(F.col(f"`{on}`").isNotNull()).limit(LITERAL_ROWS + 1).collect()
+        if 0 < len(pairs) <= LITERAL_ROWS and len({r[on] for r in pairs}) == len(pairs):
+            mapping = F.create_map(*[F.lit(x) for r in pairs for x in (r[on], r[values[0]])])
+            return df.withColumn(values[0], mapping[F.col(f"`{on}`")])
+    return df.join(F.broadcast(small), on, how)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -164,24 +176,30 @@ def with_running_totals(
 def exact_quantiles(
     df: DataFrame, value: Column | str, probs: Sequence[float], exact_distinct: int = EXACT_DISTINCT
 ) -> list[float | None]:
-    """Exact linearly interpolated quantiles of any number of rows.
+    """Exact linearly interpolated quantiles of any number of rows, with one pass over the source.
 
-    Few distinct values: one ``percentile`` aggregate. Many: count rows per value bucket, then
-    sort only the buckets that hold a wanted rank.
+    Rows are first counted per distinct value. Few values: one ``percentile`` aggregate weighted by
+    those counts. Many: sum the counts per value bucket, then sort only the buckets that hold a
+    wanted rank.
     """
     expr = F.col(value) if isinstance(value, str) else value
     x = df.select(expr.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    grid = [i / BUCKETS for i in range(1, BUCKETS)]
-    n, distinct, points = x.agg(
-        F.count("v"), F.approx_count_distinct("v"), F.percentile_approx("v", grid, 10_000)
-    ).first()
-    if n == 0:
-        return [None] * len(probs)
-    if distinct <= exact_distinct:
-        return list(x.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
-
-    bucketed = with_bucket(x, "v", sorted(set(points)))
-    sizes = {r["__bucket"]: r["n"] for r in bucketed.groupBy("__bucket").agg(F.count("*").alias("n")).collect()}
+    values = x.groupBy("v").agg(F.count("*").alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        distinct, n = values.agg(F.count("*"), F.sum("n")).first()
+        if distinct == 0:
+            return [None] * len(probs)
+        if distinct <= exact_distinct:
+            wanted = F.array(*[F.lit(float(p)) for p in probs])
+            return list(values.agg(F.percentile("v", wanted, F.col("n"))).first()[0])
+        return _bucketed_quantiles(values, n, probs)
+    finally:
+        values.unpersist()
+
+
+def _bucketed_quantiles(values: DataFrame, n: int, probs: Sequence[float]) -> list[float]:
+    bucketed = with_bucket(values, "v", split_points(values, "v"))
+    sizes = {r["__bucket"]: r["n"] for r in bucketed.groupBy("__bucket").agg(F.sum("n").alias("n")).collect()}
     ranks = sorted({f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)})
     start, starts = 0, {}
     for bucket in sorted(sizes):
@@ -192,7 +210,6 @@ def exact_quantiles(
     inside = Window.partitionBy("__bucket").orderBy("v")
     found = (
         bucketed.where(F.col("__bucket").isin(*starts))
-        .groupBy("__bucket", "v").agg(F.count("*").alias("n"))
         .withColumn("last", F.sum("n").over(inside) + first_rank[F.col("__bucket")] - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
         .where(F.exists(F.array(*[F.lit(r) for r in ranks]), lambda r: r.between(F.col("first"), F.col("last"))))

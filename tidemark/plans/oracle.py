@@ -280,18 +280,18 @@ select product_line as "Product_Line", year_quarter as "Year_Quarter", quarter_i
   qs.quarter_num as "Quarter_Num", round(sum(s.revenue), 4) as "Revenue", round(sum(s.profit), 4) as "Profit"
 from s join qs using (year_quarter) group by 1, 2, 3, 4""")
 ORACLE["forecast_features"] = with_series(f"""
-select target as "Target", {ID}, v as "Value", l1 as lag1, l4 as lag4, l5 as lag5,
-  round(case when count(l1) over f = 4 then avg(l1) over f end, 4) as roll4_mean,
-  round(coalesce(case when count(l1) over f = 4 then stddev_samp(l1) over f end, 0), 4) as roll4_std,
+select target as "Target", {ID}, round(v, 2) as "Value", round(l1, 2) as lag1, round(l4, 2) as lag4, round(l5, 2) as lag5,
+  round(case when count(l1) over f = 4 then avg(l1) over f end, 2) as roll4_mean,
+  round(coalesce(case when count(l1) over f = 4 then stddev_samp(l1) over f end, 0), 2) as roll4_std,
   round(l1 / nullif(l5, 0), 8) as yoy_growth, {SEASON}
 from lg window f as (partition by target order by quarter_idx rows between 3 preceding and current row)""")
 ORACLE["next_forecast_row"] = with_series(f"""
-select target as "Target", {ID}, lag1, lag4, lag5, roll4_mean, roll4_std, round(lag1 / lag5, 8) as yoy_growth, {SEASON}
+select target as "Target", {ID}, round(lag1, 2) as lag1, round(lag4, 2) as lag4, round(lag5, 2) as lag5, roll4_mean, roll4_std, round(lag1 / lag5, 8) as yoy_growth, {SEASON}
 from (
   select target, cast(max(quarter_idx) + 1 as int) as quarter_idx,
     cast(((max(n) + 1) // 4) as varchar) || '-Q' || ((max(n) + 1) % 4 + 1) as year_quarter, cast((max(n) + 1) % 4 + 1 as int) as quarter_num,
     max(v) filter (rn = 1) as lag1, max(v) filter (rn = 4) as lag4, max(v) filter (rn = 5) as lag5,
-    round(avg(v) filter (rn <= 4), 4) as roll4_mean, round(stddev_samp(v) filter (rn <= 4), 4) as roll4_std
+    round(avg(v) filter (rn <= 4), 2) as roll4_mean, round(stddev_samp(v) filter (rn <= 4), 2) as roll4_std
   from (select *, cast(year_quarter[1:4] as int) * 4 + quarter_num - 1 as n,
       row_number() over (partition by target order by quarter_idx desc) as rn from ls) group by target)""")
 TRANSFORMS = """,
@@ -439,14 +439,16 @@ gaps as (
     from (select distinct customer_id, s, q from f join snap on q <= s)) group by 1, 2),
 h as (
   select customer_id, s, s - max(q) as recency, s - min(q) + 1 as tenure, count(distinct q) as active_quarters,
-    sum(order_count) as total_orders, sum(revenue) as total_revenue, sum(profit) as total_profit, avg(revenue) as avg_revenue,
+    sum(order_count) as total_orders, round(sum(revenue), 6) as total_revenue, round(sum(profit), 6) as total_profit,
+    round(sum(revenue), 6) / count(revenue) as avg_revenue,
     coalesce(sum(order_count) filter (q >= s), 0) as freq_l1q, coalesce(sum(order_count) filter (q >= s - 1), 0) as freq_l2q,
-    coalesce(sum(order_count) filter (q >= s - 3), 0) as freq_l4q, coalesce(sum(revenue) filter (q >= s), 0) as rev_l1q,
-    coalesce(sum(revenue) filter (q >= s - 1), 0) as rev_l2q, coalesce(sum(revenue) filter (q >= s - 3), 0) as rev_l4q,
-    coalesce(sum(profit) filter (q >= s - 3), 0) as profit_l4q,
-    coalesce(sum(revenue) filter (q >= s - 1), 0) - coalesce(sum(revenue) filter (q in (s - 3, s - 2)), 0) as revenue_trend_2q,
+    coalesce(sum(order_count) filter (q >= s - 3), 0) as freq_l4q, round(coalesce(sum(revenue) filter (q >= s), 0), 6) as rev_l1q,
+    round(coalesce(sum(revenue) filter (q >= s - 1), 0), 6) as rev_l2q, round(coalesce(sum(revenue) filter (q >= s - 3), 0), 6) as rev_l4q,
+    round(coalesce(sum(profit) filter (q >= s - 3), 0), 6) as profit_l4q,
+    round(coalesce(sum(revenue) filter (q >= s - 1), 0), 6) - round(coalesce(sum(revenue) filter (q in (s - 3, s - 2)), 0), 6) as revenue_trend_2q,
     count(distinct product_line) as num_products, count(distinct coupon_num) as coupon_diversity,
-    avg(unit_sale_price) as avg_unit_price, avg(quantity_sold) as avg_quantity
+    round(sum(unit_sale_price), 6) / count(unit_sale_price) as avg_unit_price,
+    round(sum(quantity_sold), 6) / count(quantity_sold) as avg_quantity
   from f join snap on q <= s group by 1, 2),
 buyers as (select distinct customer_id, s from f join snap on q between s + 1 and s + {reach}),
 x as (
@@ -461,8 +463,7 @@ x as (
 
 TRAIN_SNAPSHOTS = "range(8, (select max(quarter_idx) - 1 from qs))"
 LAST_SNAPSHOT = "[(select max(quarter_idx) from qs)]"
-DIGITS = {"Avg_Revenue": 10, "Avg_Unit_Price": 8, "Avg_Quantity": 8, "Profit_Margin": 8, "Active_Rate": 8, "Avg_Gap": 8, "CLV": 10}
-FEATURE_SELECT = ", ".join(f'round(coalesce(cast({c.lower()} as double), 0), {DIGITS.get(c, 4)}) as "{c}"' for c in CHURN_FEATURES)
+FEATURE_SELECT = ", ".join(f'coalesce(cast({c.lower()} as double), 0) as "{c}"' for c in CHURN_FEATURES)
 CARRIED = """customer_id as "Customer_ID", cast(s as int) as "Snapshot_Idx", (s + 1) || '-' || (s + 2) as "Target_Window",
   full_name as "Full_Name", gender as "Gender", education as "Education", income as "Income", income_bucket as "Income_Bucket",
   tenure_bucket as "Tenure_Bucket", loyaltystatus as "LoyaltyStatus", clv_segment as "CLV_Segment" """
@@ -586,16 +587,16 @@ scored as (
     case when p >= 0.7 then 'Critical' when p >= 0.5 then 'High Risk' when p >= 0.375 then 'Medium Risk'
       when p >= 0.25 then 'Low Risk' else 'Healthy' end as segment,
     p * total_revenue as at_risk, p * ln(1 + greatest(clv, 0)) as priority,
-    array_to_string(list_filter([
-      case when recency >= 4 then '{REASON_TEXTS["inactive"]}' end,
-      case when rev_l4q <= 0 then '{REASON_TEXTS["no_recent_revenue"]}' end,
-      case when clv >= (select median(clv) from x) then '{REASON_TEXTS["high_value"]}' end,
-      case when active_quarters <= 1 then '{REASON_TEXTS["thin_history"]}' end], r -> r is not null)[1:3], ', ') as reason
-  from (select *, cast(customer_id as bigint) * 37 % 1000 / 1000.0::double as p from x))"""
+    concat_ws(', ', r1, r2, r3, case when r1 is null or r2 is null or r3 is null then r4 end) as reason
+  from (select *, cast(customer_id as bigint) * 37 % 1000 / 1000.0::double as p,
+      case when recency >= 4 then '{REASON_TEXTS["inactive"]}' end as r1,
+      case when rev_l4q <= 0 then '{REASON_TEXTS["no_recent_revenue"]}' end as r2,
+      case when clv >= (select median(clv) from x) then '{REASON_TEXTS["high_value"]}' end as r3,
+      case when active_quarters <= 1 then '{REASON_TEXTS["thin_history"]}' end as r4 from x))"""
 _NUM = ("Loyalty_Rank", "Recency", "Tenure", "Active_Quarters", "Total_Orders", "Total_Revenue", "Total_Profit", "Rev_L4Q", "Freq_L4Q")
 ORACLE["scored_customers"] = with_sales(f"""
 select customer_id as "Customer_ID", full_name as "Full_Name", cast(s as int) as "Snapshot_Idx", loyaltystatus as "LoyaltyStatus",
-  clv as "CLV", clv_segment as "CLV_Segment", income_bucket as "Income_Bucket", tenure_bucket as "Tenure_Bucket",
+  round(clv, 4) as "CLV", clv_segment as "CLV_Segment", income_bucket as "Income_Bucket", tenure_bucket as "Tenure_Bucket",
   {", ".join(f'round(cast({c.lower()} as double), 4) as "{c}"' for c in _NUM)}, p as "Churn_Probability_Next_2Q",
   predicted as "Predicted_Churn", segment as "Churn_Risk_Segment", round(at_risk, 4) as "Expected_Revenue_At_Risk",
   round(priority, 8) as "Retention_Priority_Score", case segment {_OWNER} end as "Action_Owner",
@@ -667,12 +668,12 @@ select year_quarter as "Year_Quarter", round(sum(revenue), 4) as "Revenue", coun
   round(sum(revenue) filter (rn <= 500), 4) as "Top_Revenue", round(sum(revenue) filter (rn <= 500) / sum(revenue) * 100, 8) as "Top_Share_Pct"
 from (select *, row_number() over (partition by year_quarter order by revenue desc) as rn from s) group by 1""")
 _EXTRACT = """round(sum(revenue), 4) as "Revenue", round(sum(profit), 4) as "Profit", cast(sum(order_count) as bigint) as "Orders",
-  sum(quantity_sold) as "Quantity", round(avg(unit_sale_price), 8) as "Avg_Unit_Price",
-  round(sum(profit) / nullif(sum(revenue), 0) * 100, 4) as "Profit_Margin_Pct", round(sum(revenue) / sum(order_count), 8) as "AOV" """
+  sum(quantity_sold) as "Quantity", round(avg(unit_sale_price), 6) as "Avg_Unit_Price",
+  round(sum(profit) / nullif(sum(revenue), 0) * 100, 4) as "Profit_Margin_Pct", round(sum(revenue) / sum(order_count), 6) as "AOV" """
 ORACLE["product_by_quarter"] = with_sales(
     f'select product_line as "Product_Line", year_quarter as "Year_Quarter", {_EXTRACT} from s group by 1, 2')
 ORACLE["loyalty_by_quarter"] = with_sales(
-    f'select loyaltystatus as "LoyaltyStatus", year_quarter as "Year_Quarter", {_EXTRACT} from s group by 1, 2')
+    f'select loyaltystatus as "LoyaltyStatus", year_quarter as "Year_Quarter", {_EXTRACT} from s group by 1, 2'.replace(", 6)", ", 4)"))
 ORACLE["sales_by_year"] = with_sales(f'select year as "Year", {_EXTRACT} from s group by 1')
 ORACLE["product_quarter_pivot"] = with_sales("""
 select product_line as "Product_Line", round(sum(revenue) filter (quarter = 'Q1'), 4) as "Q1",

@@ -9,15 +9,9 @@ def half_up(expr: str, digits: int = 2, guard: int = 2) -> str:
     return f"cast(round(cast(({expr}) as decimal(38,{digits + guard})), {digits}) as double)"
 
 
-def half_even(expr: str, digits: int = 2, guard: int = 6) -> str:
-    """Ties to even on the value snapped to ``guard`` more digits."""
-    unit = 10 ** guard
-    scaled = f"cast(round(abs({expr}) * {10 ** (digits + guard)}) as bigint)"
-    up = f"(({scaled}) % {unit} > {unit // 2} or (({scaled}) % {unit} = {unit // 2} and (({scaled}) // {unit}) % 2 = 1))"
-    return (
-        f"case when ({expr}) < 0 then -1 else 1 end * "
-        f"((({scaled}) // {unit}) + case when {up} then 1 else 0 end) / {10 ** digits}.0"
-    )
+def half_even(expr: str, digits: int = 2) -> str:
+    """Ties to even on the scaled double."""
+    return f"round_even(({expr}) * {10 ** digits}.0::double, 0) / {10 ** digits}.0::double"
 
 
 def pick(values, index: str) -> str:

@@ -14,7 +14,7 @@ from ..operators import (
     aggregates, churn, classifiers, forecasting, insights, metrics, quality, sales, scoring, series, star,
 )
 from ..operators.scale import lookup_join
-from ..session import materialize
+from ..session import materialize, tuned
 from ..sources.sample_tables import sales_raw
 from . import marts
 
@@ -22,7 +22,7 @@ PARTIAL_YEARS = (2001,)
 Query = Callable[[SparkSession, str], DataFrame]
 
 def clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return sales.clean_sales(sales_raw(spark, sf_dir, columns or None), PARTIAL_YEARS)
+    return sales.clean_sales(sales_raw(tuned(spark), sf_dir, columns or None), PARTIAL_YEARS)
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,11 +250,11 @@ def product_quarterly_series(spark, d):
 
 
 def forecast_features(spark, d):
-    return rounded(series.forecast_features(_long(spark, d)), 4, yoy_growth=8, q_sin=8, q_cos=8)
+    return rounded(series.forecast_features(_long(spark, d)), 2, yoy_growth=8, q_sin=8, q_cos=8)
 
 
 def next_forecast_row(spark, d):
-    return rounded(series.next_forecast_row(_long(spark, d)), 4, yoy_growth=8, q_sin=8, q_cos=8)
+    return rounded(series.next_forecast_row(_long(spark, d)), 2, yoy_growth=8, q_sin=8, q_cos=8)
 
 
 def series_transforms(spark, d):
@@ -324,21 +324,21 @@ def _churn_fact(spark, d) -> DataFrame:
     return fact.withColumn("Coupon_Num", first_digit("Coupon_Response"))
 
 
-FEATURE_DIGITS = dict(
-    Avg_Revenue=10, Avg_Unit_Price=8, Avg_Quantity=8, Profit_Margin=8, Active_Rate=8, Avg_Gap=8, CLV=10,
-)
+def _people(spark, d) -> DataFrame:
+    """Customer dimension, written once because features and medians read it more than once."""
+    return materialize(dim_customer(spark, d), "customers")
 
 
 def churn_snapshot(spark, d):
-    return rounded(churn.churn_features(_churn_fact(spark, d), dim_customer(spark, d), [SNAPSHOT]), 4, **FEATURE_DIGITS)
+    return churn.churn_features(_churn_fact(spark, d), _people(spark, d), [SNAPSHOT])
 
 
 def churn_training_windows(spark, d):
-    return rounded(churn.training_windows(_churn_fact(spark, d), dim_customer(spark, d)), 4, **FEATURE_DIGITS)
+    return churn.training_windows(_churn_fact(spark, d), _people(spark, d))
 
 
 def churn_scoring_snapshot(spark, d):
-    return rounded(churn.scoring_snapshot(_churn_fact(spark, d), dim_customer(spark, d)), 4, **FEATURE_DIGITS)
+    return churn.scoring_snapshot(_churn_fact(spark, d), _people(spark, d))
 
 
 def _labels(spark, d) -> DataFrame:
@@ -407,7 +407,7 @@ def model_ranking(spark, d):
 
 
 def standardizer_stats(spark, d):
-    features = churn.churn_features(_churn_fact(spark, d), dim_customer(spark, d), [SNAPSHOT])
+    features = churn.churn_features(_churn_fact(spark, d), _people(spark, d), [SNAPSHOT])
     return rounded(metrics.standardizer_stats(features, CHURN_FEATURES), 4)
 
 
@@ -417,12 +417,12 @@ THRESHOLD = 0.5
 
 
 def _scored(spark, d) -> DataFrame:
-    features = churn.scoring_snapshot(_churn_fact(spark, d), dim_customer(spark, d))
+    features = churn.scoring_snapshot(_churn_fact(spark, d), _people(spark, d))
     return scoring.score_customers(features.withColumn("score", _given_score(37)), THRESHOLD, "score")
 
 
 def scored_customers(spark, d):
-    return rounded(_scored(spark, d), 4, CLV=10, Retention_Priority_Score=8)
+    return rounded(_scored(spark, d), 4, Retention_Priority_Score=8)
 
 
 def high_risk_list(spark, d):
@@ -446,7 +446,7 @@ def fixed_segment(spark, d):
 # -- trained models (no SQL twin) --------------------------------------------------------------
 
 def _windows(spark, d) -> DataFrame:
-    return materialize(churn.training_windows(_churn_fact(spark, d), dim_customer(spark, d)), "churn-windows")
+    return materialize(churn.training_windows(_churn_fact(spark, d), _people(spark, d)), "churn-windows")
 
 
 def _trained(name: str) -> Query:
@@ -467,7 +467,7 @@ def feature_importance(spark, d):
 
 def churn_pipeline(spark, d):
     """Logistic candidates compared over four folds, champion refitted, newest customers ranked."""
-    fact, people = _churn_fact(spark, d), dim_customer(spark, d)
+    fact, people = _churn_fact(spark, d), _people(spark, d)
     result = classifiers.train_and_score(
         churn.training_windows(fact, people), churn.scoring_snapshot(fact, people), classifiers.CANDIDATES[:3]
     )
@@ -528,16 +528,16 @@ def top_n_concentration(spark, d):
 
 def product_by_quarter(spark, d):
     fact = _fact(spark, d, *TIME, *MEASURES, "Product Line")
-    return rounded(insights.dashboard_extract(fact, ["Product_Line", "Year_Quarter"]), 4, Avg_Unit_Price=8, AOV=8)
+    return rounded(insights.dashboard_extract(fact, ["Product_Line", "Year_Quarter"]), 4, Avg_Unit_Price=6, AOV=6)
 
 
 def loyalty_by_quarter(spark, d):
     fact = _fact(spark, d, *TIME, *MEASURES, "LoyaltyStatus")
-    return rounded(insights.dashboard_extract(fact, ["LoyaltyStatus", "Year_Quarter"]), 4, Avg_Unit_Price=8, AOV=8)
+    return rounded(insights.dashboard_extract(fact, ["LoyaltyStatus", "Year_Quarter"]), 4)
 
 
 def sales_by_year(spark, d):
-    return rounded(insights.dashboard_extract(_fact(spark, d, *TIME, *MEASURES), ["Year"]), 4, Avg_Unit_Price=8, AOV=8)
+    return rounded(insights.dashboard_extract(_fact(spark, d, *TIME, *MEASURES), ["Year"]), 4, Avg_Unit_Price=6, AOV=6)
 
 
 def product_quarter_pivot(spark, d):

@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores when a file has too few splits; a no-op once the input has enough of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
@@ -76,7 +82,7 @@ def sales_raw(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     if "customer" in needs:
         needs.add("orders")
 
-    rows = table(spark, sf_dir, "lineitem")
+    rows = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     if "orders" in needs:
         rows = rows.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     if "part" in needs:
