@@ -49,7 +49,8 @@ def lookup_join(
         pairs = small.where(F.col(f"`{on}`").isNotNull()).limit(LITERAL_ROWS + 1).collect()
         if 0 < len(pairs) <= LITERAL_ROWS and len({r[on] for r in pairs}) == len(pairs):
             mapping = F.create_map(*[F.lit(x) for r in pairs for x in (r[on], r[values[0]])])
-            return df.withColumn(values[0], mapping[F.col(f"`{on}`")])
+            found = mapping[F.col(f"`{on}`")].cast(lookup.schema[values[0]].dataType)
+            return df.withColumn(values[0], found)
     return df.join(F.broadcast(small), on, how)
 
 
