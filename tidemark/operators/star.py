@@ -52,13 +52,15 @@ def project(df: DataFrame, names: dict[str, str]) -> DataFrame:
 def first_per_key(df: DataFrame, key: str, ranking: Sequence[str], largest: bool) -> DataFrame:
     """One whole row per key: the largest or smallest by ``ranking``, then by all other columns.
 
-    Duplicates collapse in a hash aggregate first, so a hot key shrinks before it is compared.
-    Nulls rank lowest.
+    Copies collapse in a hash aggregate first, so a hot key shrinks before rows are sorted and
+    compared. The number of copies rides along last in the comparison, where it cannot matter, to
+    keep the optimizer from dropping that step. Nulls rank lowest.
     """
     rest = [c for c in df.columns if c != key and c not in ranking]
-    row = F.struct(*ranking, *rest)
+    copies = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
+    row = F.struct(*ranking, *rest, "__copies")
     pick = F.max(row) if largest else F.min(row)
-    return df.distinct().groupBy(key).agg(pick.alias("__row")).select(
+    return copies.groupBy(key).agg(pick.alias("__row")).select(
         *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in df.columns]
     )
 
