@@ -19,6 +19,9 @@ SETTINGS = {
 }
 RUNTIME = ("spark.sql.codegen.hugeMethodLimit",)
 
+#: Folders written by ``materialize`` and not yet released, per application.
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -36,25 +39,62 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_single_machine(master: str) -> bool:
+    """True for ``local`` and ``local[...]``; a ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test run) gets a temporary folder.
+    Without that setting a single-machine session gets a temporary folder; on a cluster, where such
+    a folder would be a different one on each machine, the call raises.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder is None:
+        if not is_single_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder, remembered until ``release``."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage, survives lost executors, and stays columnar so later readers prune.
+    Cuts the lineage, survives lost executors, and stays columnar so later readers prune. The files
+    stay until ``release``, because a lazy result may still read them.
     """
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark(spark: SparkSession) -> int:
+    """How many intermediate folders exist now; ``release(spark, mark)`` removes the later ones."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the folders written after ``since``; call it once nothing lazy reads them any more."""
+    paths = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    gone, paths[since:] = paths[since:], []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in gone:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(gone)
+
+
+def checkpoint_trees(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    spark.sparkContext.setCheckpointDir(scratch_path(spark, "trees"))
