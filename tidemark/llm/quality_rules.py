@@ -48,6 +48,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     # Positions of windows whose sorted neighbour on either side is the same window. Hashes that agree by
     # chance are told apart by their words.
     place = "cast({} & (shiftleft(1L, __low) - 1) AS int)"
+
     def equals(step):
         near = f"get(__keys, i {step} 1)"
         return (
@@ -57,13 +58,13 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     staged = staged.withColumn("__at", F.sort_array(F.expr(
         f"filter(transform(__keys, (k, i) -> if({equals('-')} OR {equals('+')}, {place.format('k')}, -1)), p -> p >= 0)"
     )))
+
     # Windows cover three words each; an overlap with the next window counts once.
     covered = """
         aggregate(__at, named_struct('end', 0, 'n', 0L), (s, p) ->
           named_struct('end', p + 3, 'n', s.n + (p + 3 - greatest(p, s.end))), s -> s.n)
     """
-    return staged.select(
-        *[c for c in docs.columns if c not in MEASURES],
+    measures = F.struct(
         F.size("__words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("__words", "")).cast("bigint").alias("word_chars"),
         F.char_length(F.regexp_replace(value, "[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
@@ -71,6 +72,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint").alias("n_dup_lines"),
         F.expr(covered).cast("bigint").alias("n_repeat_words"),
     )
+    # A generator keeps filters on the measurements above them, where each is computed once.
+    kept = [c for c in docs.columns if c not in MEASURES]
+    return staged.select(*kept, F.inline(F.array(measures)))
 
 
 def ledger(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
