@@ -13,8 +13,18 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of the batches in which rows travel to Python.
+BATCH_BYTES = "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the batches that Python gets from now on, whatever the length of the texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def words(text: Column) -> Column:

@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import materialize
-from .common import slices, table
+from .common import slices, small_batches, table
 
 MODEL = "word_bpe_49k.json"
 END = 1
-#: Unicode white space, at which the tokenizer always separates words and which it drops.
-SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
+#: Units between which the tokenizer always cuts: it drops Unicode white space, and a run of letters ends
+#: at ASCII punctuation other than the apostrophe of a contraction.
+SPACE = "\t-\r \x85\xa0  -     　"
+UNITS = re.compile(rf"[^\W\d_]+(?=[.,!?;:|#*$%&<>])|[^{SPACE}]+")
+PLAIN = re.compile(r"[a-zà-öø-ÿ]+")
+#: Entries beyond which a worker keeps only the units of its current block, and characters of a block.
 TABLE_LIMIT = 400_000
 BLOCK_CHARS = 2_000_000
 #: Buckets in which pieces of one length are numbered.
@@ -104,25 +108,48 @@ def places(bins) -> pd.DataFrame:
 
 # -- tokens ------------------------------------------------------------------------------------
 
-_WORDS: dict[str, tuple[Tokenizer, dict[str, bytes]]] = {}
+class WordTable:
+    """Ids of distinct units as little-endian 32-bit integers."""
+
+    def __init__(self, model: str):
+        self.library = Tokenizer.from_file(model)
+        self.ids: dict[str, bytes] = {}
+        size = self.library.get_vocab_size()
+        self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+
+    def learn(self, units: set[str]) -> None:
+        if len(self.ids) + len(units) > TABLE_LIMIT:
+            self.ids = {u: self.ids[u] for u in units if u in self.ids}
+        new = [u for u in units if u not in self.ids]
+        # A run of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
+        plain = [u for u in new if PLAIN.fullmatch(u)]
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            found = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[found]) + 1
+            if len(cuts) != len(part):
+                new.extend(part)
+                continue
+            data, start = found.tobytes(), 0
+            for unit, stop in zip(part, (4 * cuts).tolist()):
+                self.ids[unit] = data[start:stop]
+                start = stop
+        other = [u for u in new if u not in self.ids]
+        for at in range(0, len(other), 20_000):
+            part = other[at : at + 20_000]
+            for unit, found in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
+                self.ids[unit] = np.array(found.ids, dtype="<u4").tobytes()
+
+
+_TABLES: dict[str, WordTable] = {}
 
 
 def _ids_of(model: str, texts: list[str]) -> list[bytes]:
-    """Ids of whole texts as little-endian 32-bit integers, from a table of distinct words."""
-    if model not in _WORDS:
-        _WORDS[model] = (Tokenizer.from_file(model), {})
-    library, known = _WORDS[model]
-    split = [SPACES.split(t) for t in texts]
-    need = set().union(*split)
-    new = [w for w in need if w not in known]
-    if len(known) + len(new) > TABLE_LIMIT:
-        known.clear()
-        new = list(need)
-    for at in range(0, len(new), 20_000):
-        part = new[at : at + 20_000]
-        for word, found in zip(part, library.encode_batch(part, add_special_tokens=False)):
-            known[word] = np.array(found.ids, dtype="<u4").tobytes()
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+    """Ids of whole texts; the tokenizer lower-cases, so A-Z can be lower-cased before its table is asked."""
+    known = _TABLES.get(model) or _TABLES.setdefault(model, WordTable(model))
+    units = [UNITS.findall(t.encode("utf-8", "replace").lower().decode()) for t in texts]
+    known.learn(set().union(*units))
+    return [b"".join(map(known.ids.__getitem__, u)) for u in units]
 
 
 def _cutter(model: str, capacity: int):
@@ -203,6 +230,7 @@ def pack_documents(
 
     A null or empty text is the end id alone. Null ids are kept. Other columns are not read.
     """
+    small_batches(docs)
     return pack(materialize(pieces(docs, id_col, text, capacity, model), "pieces"), id_col, capacity)
 
 

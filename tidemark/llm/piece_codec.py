@@ -24,8 +24,8 @@ from .common import slices, table
 
 MODEL = "piece_bpe_32k.model"
 CHUNK = re.compile(r" +[^ ]*")
-#: Entries after which a worker starts its chunk table anew, and bytes of text handled at once.
-TABLE_LIMIT = 400_000
+#: Entries beyond which a worker keeps only the chunks of its current block, and characters of a block.
+TABLE_LIMIT = 250_000
 BLOCK_BYTES = 2_000_000
 
 
@@ -41,9 +41,10 @@ class ChunkTable:
         self.chars: dict[str, str] = {}
 
     def learn(self, chunks: set[str]) -> None:
+        if len(self.ids) + len(chunks) > TABLE_LIMIT:
+            self.ids = {c: self.ids[c] for c in chunks if c in self.ids}
+            self.chars = {c: self.chars[c] for c in self.ids}
         new = [c for c in chunks if c not in self.ids]
-        if len(self.ids) + len(new) > TABLE_LIMIT:
-            self.ids, self.chars, new = {}, {}, list(chunks)
         # The library puts one space before what it encodes; it gives nothing for an empty text.
         found = self.library.encode([c[1:] for c in new], num_threads=1)
         found = [ids or [self.marker] for ids in found]
