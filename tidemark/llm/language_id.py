@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import crc_class, table
+from .common import crc_class, small_batches, table
 
 #: Hash range of each gram size; shares are scaled before fitting so that margins are of order one.
 RANGE_BITS = 13
@@ -148,6 +148,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A null text and a text without a letter are ``und`` with score 0. Columns of these names are replaced.
     """
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

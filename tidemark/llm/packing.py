@@ -32,7 +32,7 @@ SPACE = "\t-\r \x85\xa0  -     　"
 UNITS = re.compile(rf"[^\W\d_]+(?=[.,!?;:|#*$%&<>])|[^{SPACE}]+")
 PLAIN = re.compile(r"[a-zà-öø-ÿ]+")
 #: Entries beyond which a worker keeps only the units of its current block, and characters of a block.
-TABLE_LIMIT = 400_000
+TABLE_LIMIT = 300_000
 BLOCK_CHARS = 2_000_000
 #: Buckets in which pieces of one length are numbered.
 BUCKETS = 1024

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import crc_class, pack, slices, table, text_bytes, unpack
+from .common import crc_class, pack, slices, small_batches, table, text_bytes, unpack
 
 SYMBOLS = 64
 OTHER = SYMBOLS - 1
@@ -297,6 +297,7 @@ def score(docs: DataFrame, learned, id_col: str = "doc_id", text: str = "text")
     empty table gives an empty table. Other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(docs)
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("has_id"),
         F.coalesce(learned, F.lit(False)).alias("learned"), F.col(text).cast("binary").alias("text"),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import table
+from .common import small_batches, table
 from .components import components
 
 BITS = 64
@@ -145,6 +145,7 @@ def near_duplicates(
     null id takes the smallest id it reaches (null if none); repeated ids keep a row each. An empty
     table gives an empty table. Other columns are not read.
     """
+    small_batches(docs)
     hashed = materialize(fingerprints(docs.select(id_col, text), text, "fp").select(id_col, "fp"), "fingerprints")
     distinct = materialize(
         hashed.groupBy("fp").agg(F.min(id_col).cast("bigint").alias("first_id"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import pack, slices, table, text_bytes, unpack
+from .common import pack, slices, small_batches, table, text_bytes, unpack
 
 WINDOW = 13
 GRAM = 4
@@ -280,6 +280,7 @@ def remove_repeats(
     result's names are replaced.
     """
     docs = docs.drop(*[c for c in ("n_words", "n_removed", "kept") if c not in (id_col, text)])
+    small_batches(docs)
     total = text_bytes(docs, text)
     docs_keyed = docs.withColumns({
         "__id": F.col(id_col).cast("bigint"), "__mark": F.xxhash64(text), "__body": F.col(text).cast("binary"),
