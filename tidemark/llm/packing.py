@@ -26,10 +26,10 @@ from .common import slices, small_batches, table
 
 MODEL = "word_bpe_49k.json"
 END = 1
-#: Units between which the tokenizer always cuts: it drops Unicode white space, and a run of letters ends
-#: at ASCII punctuation other than the apostrophe of a contraction.
+#: Units between which the tokenizer always cuts: it drops Unicode white space, and a run of letters that are
+#: lower case already ends at ASCII punctuation other than the apostrophe of a contraction.
 SPACE = "\t-\r \x85\xa0  -     　"
-UNITS = re.compile(rf"[^\W\d_]+(?=[.,!?;:|#*$%&<>])|[^{SPACE}]+")
+UNITS = re.compile(rf"[a-zà-öø-ÿ]+(?=[.,!?;:|#*$%&<>])|[^{SPACE}]+")
 PLAIN = re.compile(r"[a-zà-öø-ÿ]+")
 #: Entries beyond which a worker keeps only the units of its current block, and characters of a block.
 TABLE_LIMIT = 300_000
