@@ -68,3 +68,29 @@ def test_top_n_per_group_on_hot_key(spark):
     for key in {k for k, _ in rows}:
         got = [r["v"] for r in sorted((r for r in out if r["k"] == key), key=lambda r: r["rank"])]
         assert got == sorted((v for k, v in rows if k == key), reverse=True)[:5]
+
+
+@pytest.mark.parametrize("keys", [0, 1, 64, 65, 300])
+@pytest.mark.parametrize("bound", [10, 100_000])
+def test_lookup_layout_does_not_depend_on_its_size(spark, keys, bound):
+    rows = spark.range(50).selectExpr("id AS n", "id AS k", "'v' AS v")
+    lookup = spark.range(keys).selectExpr("id AS k", "id * 10 AS x")
+    found = scale.lookup_join(rows, lookup, "k", max_rows=bound)
+    assert found.columns == ["n", "k", "v", "x"]
+    assert sorted((r.k, r.x) for r in found.collect()) == [(i, i * 10 if i < keys else None) for i in range(50)]
+    with pytest.raises(ValueError, match="both sides"):
+        scale.lookup_join(rows, lookup.withColumnRenamed("x", "v"), "k", max_rows=bound)
+
+
+@pytest.mark.parametrize("bound", [3, 1_000_000])
+def test_quantiles_with_infinities_and_one_repeated_value(spark, bound):
+    values = [float(i) for i in range(40)] + [float("inf"), float("inf"), float("-inf"), -0.0, 0.0] + [7.0] * 46
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ordered = sorted(values)
+    at = [0.25, 0.5, 0.75]
+    want = []
+    for p in at:
+        pos = p * (len(ordered) - 1)
+        low = ordered[int(pos)]
+        want.append(low + (pos - int(pos)) * (ordered[min(int(pos) + 1, len(ordered) - 1)] - low))
+    assert scale.exact_quantiles(df, "v", at, exact_distinct=bound) == pytest.approx(want)

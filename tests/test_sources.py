@@ -79,9 +79,30 @@ def test_raw_scan_csv_and_parquet(spark, tmp_path):
     assert sorted(r["Revenue"] for r in parquet.collect()) == sorted(r["Revenue"] for r in text.collect())
 
 
+def test_raw_scan_goes_by_trimmed_name(spark, tmp_path):
+    rows = sales_raw(spark, SF).limit(5)
+    padded = rows.select(*[rows[f"`{c}`"].alias(f" {c} ") for c in reversed(rows.columns)])
+    padded.write.parquet(str(tmp_path / "p"))
+    padded.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(str(tmp_path / "c"))
+    for found in (raw.read_raw_sales(spark, str(tmp_path / "p")), raw.read_raw_sales(spark, str(tmp_path / "c"), "csv")):
+        assert found.schema == raw.RAW_SCHEMA
+        assert found.where("`Loyalty#` IS NULL OR Country IS NULL OR Revenue IS NULL").count() == 0
+    rows.drop("Revenue").write.parquet(str(tmp_path / "m"))
+    with pytest.raises(ValueError, match=r"missing columns \['Revenue'\]"):
+        raw.read_raw_sales(spark, str(tmp_path / "m"))
+
+
+def test_decimal_table_can_be_read(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.sql("SELECT CAST(1.25 AS DECIMAL(12,3)) AS amount, 'a' AS part").write.parquet(path)
+    catalog.register_table(spark, "decimals", "d", path, [])
+    assert str(spark.table("decimals.d").first()["amount"]) == "1.250"
+
+
 def test_sql_types():
     kinds = [T.IntegerType(), T.FloatType(), T.BooleanType(), T.TimestampNTZType(), T.DateType(), T.StringType(), T.BinaryType()]
-    assert [catalog.sql_type(k) for k in kinds] == ["bigint", "double", "boolean", "timestamp", "date", "string", "string"]
+    assert [catalog.sql_type(k) for k in kinds] == ["bigint", "double", "boolean", "timestamp", "date", "string", "binary"]
+    assert catalog.sql_type(T.DecimalType(12, 3)) == "decimal(12,3)"
 
 
 def test_schema_guards(spark, tmp_path):
@@ -117,7 +138,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     )
     assert out["champion"] == "Logistic_Balanced"
     assert set(out["validations"]) == set(VALIDATIONS)
-    rows = {r["table_name"]: r["row_count"] for r in out["validations"]["val_row_counts"]}
+    rows = {r["table_name"]: r["row_count"] for r in out["validations"]["val_row_counts"].collect()}
+    long = out["validations"]["val_product_order"]
+    assert long.count() == spark.read.parquet(f"{base}/outputs/validations/val_product_order").count()
     assert rows["fact_sales"] == data.count() and rows["dim_product"] == 6
     assert {r["tableName"] for r in spark.sql("SHOW VIEWS IN shop").selectExpr("viewName AS tableName").collect()} >= set(MARTS)
     assert PipelineModel.load(f"{base}/outputs/models/logistic_balanced").stages

@@ -39,19 +39,25 @@ def lookup_join(
     """Join a derived lookup by measured size.
 
     A handful of key-value pairs becomes a literal map (no join), a small table is broadcast, and
-    anything larger is a shuffled join in which AQE splits skewed keys.
+    anything larger is a shuffled join in which AQE splits skewed keys. The columns are those of ``df`` and
+    then the values of the lookup, whatever its size; a name on both sides raises.
     """
+    keys = [on] if isinstance(on, str) else list(on)
+    values = [c for c in lookup.columns if c not in keys]
+    clash = sorted(set(values) & set(df.columns))
+    if clash:
+        raise ValueError(f"columns on both sides of a lookup: {', '.join(clash)}")
+    columns = [F.col(f"`{c}`") for c in [*df.columns, *values]]
     small = small_table(lookup, max_rows)
     if small is None:
-        return df.join(lookup, on, how)
-    values = [c for c in lookup.columns if c != on]
+        return df.join(lookup, on, how).select(*columns)
     if how == "left" and isinstance(on, str) and len(values) == 1:
         pairs = small.where(F.col(f"`{on}`").isNotNull()).limit(LITERAL_ROWS + 1).collect()
         if 0 < len(pairs) <= LITERAL_ROWS and len({r[on] for r in pairs}) == len(pairs):
             mapping = F.create_map(*[F.lit(x) for r in pairs for x in (r[on], r[values[0]])])
             found = mapping[F.col(f"`{on}`")].cast(lookup.schema[values[0]].dataType)
             return df.withColumn(values[0], found)
-    return df.join(F.broadcast(small), on, how)
+    return df.join(F.broadcast(small), on, how).select(*columns)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -134,7 +140,8 @@ def split_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[floa
     """At most ``buckets - 1`` cut points that spread the rows of ``df`` evenly over the value range."""
     probs = [i / buckets for i in range(1, buckets)]
     points = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10_000)).first()[0]
-    return sorted(set(points or []))
+    # Infinite values belong to the outer buckets and are no cut points.
+    return sorted({p for p in points or [] if math.isfinite(p)})
 
 
 def with_bucket(df: DataFrame, value: str, splits: list[float], out: str = "__bucket") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators import churn, classifiers, forecasting, metrics, quality, scoring, series
+from ..operators import churn, classifiers, forecasting, metrics, scoring, series
 from ..session import materialize
 
 
@@ -29,7 +29,8 @@ def churn_reports(
     fact: DataFrame, customers: DataFrame, candidates: Sequence[classifiers.Candidate] = classifiers.CANDIDATES
 ) -> tuple[classifiers.ChurnResult, dict[str, DataFrame]]:
     result = classifiers.train_and_score(
-        churn.training_windows(fact, customers), churn.scoring_snapshot(fact, customers), candidates
+        churn.training_windows(fact, customers),
+        materialize(churn.scoring_snapshot(fact, customers), "scoring-snapshot"), candidates
     )
     scored = materialize(scoring.score_customers(result.scored, result.threshold), "scored-customers")
     return result, {
@@ -43,7 +44,3 @@ def churn_reports(
         "churn_model_comparison": result.ranking,
         "churn_backtest": result.folds,
     }
-
-
-def input_report(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    return quality.model_input_report(fact, customers)

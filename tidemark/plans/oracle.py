@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.quality import NO_SOURCE_ID, STALE_SOURCE
 from .oracle_base import CUSTOMERS, half_even, half_up, rank, with_customers, with_raw, with_sales
 
 ORACLE: dict[str, str] = {}
@@ -213,30 +214,39 @@ _DQ = [
     *[_dq(f"{t}_required_columns", "ERROR", "true", "'none'", "no missing required columns")
       for t in ("FACT_Sales", "DIM_Customer", "DIM_Product", "DIM_Date")],
     _dq("fact_sales_row_count", "ERROR", "n > 0", "n", "> 0"),
+    _dq("fact_sales_unique_fact_id", "ERROR", "dup_id = 0", "dup_id", "0 duplicates"),
     _dq("fact_sales_possible_duplicate_transactions", "WARNING", "dup = 0", "dup", "0 duplicate natural-grain rows",
-        "WARNING only because the source has no immutable transaction id."),
+        NO_SOURCE_ID),
     *[_dq(f"fact_sales_{c}_not_null", "ERROR", f"null_{c} = 0", f"null_{c}", "0 nulls")
       for c in ("Customer_ID", "Product_ID", "Date_Key")],
-    _dq("dim_customer_unique_customer_id", "ERROR", "true", "0", "0 duplicates"),
-    *[_dq(f"fact_{k}_fk_integrity", "ERROR", "true", "0", "0 orphan rows")
+    _dq("dim_customer_unique_customer_id", "ERROR", "dup_c = 0", "dup_c", "0 duplicates"),
+    *[_dq(f"fact_{k}_fk_integrity", "ERROR", f"orphan_{k} = 0", f"orphan_{k}", "0 orphan rows")
       for k in ("customer", "product", "date", "geography")],
     _dq("fact_sales_no_negative_revenue", "ERROR", "neg_r = 0", "neg_r", "0 rows"),
     _dq("fact_sales_no_negative_profit", "ERROR", "neg_p = 0", "neg_p", "0 rows"),
-    _dq("fact_sales_accepted_quarter_values", "ERROR", "bad_q = 0", "'none'", "Q1, Q2, Q3, Q4 only"),
-    _dq("fact_sales_2001_partial_year_flag", "ERROR", "n2001 > 0 and n2001 = flagged", "'present'",
+    _dq("fact_sales_accepted_quarter_values", "ERROR", "bad_q = 0", "case when bad_q = 0 then 'none' else cast(bad_q as varchar) end", "Q1, Q2, Q3, Q4 only"),
+    _dq("fact_sales_2001_partial_year_flag", "ERROR", "n2001 > 0 and n2001 = flagged",
+        "case when n2001 > 0 and n2001 = flagged then 'present' else 'missing_or_invalid' end",
         "2001 rows exist and Is_Full_Year=false"),
     _dq("fact_sales_recent_year_warning", "WARNING", "max_year >= 2001", "max_year", ">= 2001",
-        "WARNING only: protects scheduled runs from accidentally loading stale raw files."),
+        STALE_SOURCE),
 ]
 ORACLE["dq_report"] = with_sales("\nunion all ".join(_DQ), f""",
+known_customers as (select distinct customer_id from s), known_products as (select distinct product_id from s),
+known_dates as (select distinct date_key from s), known_places as (select distinct geo_key from s),
 m as (
   select count(*) as n, count(*) - (select count(*) from (select distinct {_GRAIN} from s)) as dup,
     count(*) filter (customer_id is null) as null_Customer_ID, count(*) filter (product_id is null) as null_Product_ID,
     count(*) filter (date_key is null) as null_Date_Key, count(*) filter (revenue < 0) as neg_r,
-    count(*) filter (profit < 0) as neg_p, count(*) filter (quarter not in ('Q1', 'Q2', 'Q3', 'Q4')) as bad_q,
+    count(*) filter (profit < 0) as neg_p, count(distinct quarter) filter (quarter not in ('Q1', 'Q2', 'Q3', 'Q4')) as bad_q,
     count(*) filter (year = 2001) as n2001, count(*) filter (year = 2001 and not is_full_year) as flagged,
-    max(year) as max_year
-  from s)""")
+    max(year) as max_year, count(*) - count(distinct fact_id) as dup_id,
+    (select count(*) - count(distinct customer_id) from known_customers) as dup_c,
+    (select count(*) from s anti join known_customers c on s.customer_id is not distinct from c.customer_id) as orphan_customer,
+    (select count(*) from s anti join known_products p on s.product_id is not distinct from p.product_id) as orphan_product,
+    (select count(*) from s anti join known_dates d on s.date_key is not distinct from d.date_key) as orphan_date,
+    (select count(*) from s anti join known_places g on s.geo_key is not distinct from g.geo_key) as orphan_geography
+  from (select *, row_number() over () as fact_id from s) s)""")
 _MODEL_ROWS = [
     ("INFO", "FACT_ROWS", "(select count(*) from s)"), ("INFO", "CUSTOMER_ROWS", "(select count(*) from dim_customer)"),
     ("INFO", "UNIQUE_FACT_CUSTOMERS", "(select count(distinct customer_id) from s)"),

@@ -6,6 +6,7 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import fixed
 from ..operators import classifiers, quality
 from ..sources import catalog, curated, reports
 from . import etl, modelling
@@ -40,13 +41,16 @@ def run_pipeline(
     locations = {} if gate_first else etl.publish(built, f"{base}/curated")
     report = quality.quality_report(built.gate_tables(), max(partial_years), recent_year)
     reports.save_csv(report, f"{base}/outputs/data_quality_report", single_file=True)
+    if "Quarter" in built.fact_sales.columns:
+        labels = quality.unaccepted_values(built.fact_sales, "Quarter", fixed.QUARTERS)
+        reports.save_csv(labels, f"{base}/outputs/unaccepted_quarters")
     if quality.has_blocking_failures(report.where(~report["check_name"].isin(*ignore_checks))):
         raise QualityGateError(report)
     if gate_first:
         locations = etl.publish(built, f"{base}/curated")
 
     fact, customers = curated.load_model_tables(spark, f"{base}/curated")
-    tables = {"data_validation_report": modelling.input_report(fact, customers), **modelling.forecast_reports(fact)}
+    tables = {"data_validation_report": quality.model_input_report(fact, customers), **modelling.forecast_reports(fact)}
     result, churn_tables = modelling.churn_reports(fact, customers, candidates)
     tables.update(churn_tables)
     tables[reports.prediction_name(reports.latest_label(fact))] = tables.pop("churn_predictions")
@@ -58,5 +62,5 @@ def run_pipeline(
     catalog.create_views(spark, database)
     return {
         "curated": locations, "champion": result.champion, "threshold": result.threshold,
-        "validations": catalog.validate(spark, database),
+        "validations": catalog.validate(spark, database, f"{base}/outputs/validations"),
     }

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ..plans.marts import MARTS, VALIDATIONS, names_in
 from .curated import LAYOUT, exists, partition_columns, table_path
+from .reports import save_bundle
 
 _SQL_TYPES = (
     ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "bigint"),
@@ -18,13 +19,13 @@ _SQL_TYPES = (
 
 
 def sql_type(data_type: T.DataType) -> str:
-    """Catalog type of a column; anything without a direct match is text."""
-    return next((name for kinds, name in _SQL_TYPES if isinstance(data_type, kinds)), "string")
+    """Catalog type of a column; a type without a counterpart in the list (decimals, arrays) keeps Spark's own."""
+    return next((name for kinds, name in _SQL_TYPES if isinstance(data_type, kinds)), data_type.simpleString())
 
 
 def sample_schema(spark: SparkSession, path: str) -> T.StructType:
     """Schema from the Parquet footers; refuses missing and empty datasets."""
-    missing = ValueError(f"No Parquet files found under {path}. Build the curated layer before registering it.")
+    missing = ValueError(f"No Parquet files found under {path}; write the curated tables first")
     if not exists(spark, path):
         raise missing
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
@@ -33,7 +34,7 @@ def sample_schema(spark: SparkSession, path: str) -> T.StructType:
         raise missing
     df = spark.read.parquet(path)
     if df.isEmpty():
-        raise ValueError(f"Parquet dataset is empty under {path}. Refusing to register it.")
+        raise ValueError(f"{path} has Parquet files without rows, which cannot be registered")
     return df.schema
 
 
@@ -41,7 +42,7 @@ def register_table(spark: SparkSession, database: str, name: str, path: str, par
     """Create (or replace) an external table over a dataset; partition columns are text."""
     columns = {f.name: sql_type(f.dataType) for f in sample_schema(spark, path).fields if f.name not in partition_by}
     if not columns:
-        raise ValueError(f"Could not infer any non-partition columns for {name} from {path}")
+        raise ValueError(f"{name}: only partition columns under {path}")
     listed = ", ".join(f"`{c}` {t}" for c, t in {**columns, **{p: "string" for p in partition_by}}.items())
     layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -77,6 +78,8 @@ def validations(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     return {name: spark.sql(_bound(text, database)) for name, text in VALIDATIONS.items()}
 
 
-def validate(spark: SparkSession, database: str, shown: int = 20) -> dict[str, list]:
-    """Run every check and return its first rows; a failing check raises."""
-    return {name: df.take(shown) for name, df in validations(spark, database).items()}
+def validate(spark: SparkSession, database: str, base: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Run every check in full, write each result as a table below ``base`` and return them; a failing check raises."""
+    found = validations(spark, database)
+    paths = save_bundle(found, base, fmt)
+    return {name: spark.read.schema(df.schema).format(fmt).load(paths[name]) for name, df in found.items()}
