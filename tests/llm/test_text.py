@@ -230,17 +230,12 @@ def test_quality_measurements_match_brute_force(spark):
     assert quality_rules.ledger(got.select("doc_id", "text").limit(0)).count() == 0
 
 
-def slow_ppm(grams, n, context, symbol):
+def slow_ppm(trie, context, symbol):
     """Escape and exclusion, step by step, from the same counts."""
-    s = ppm_scoring.SYMBOLS
-    trie = [collections.defaultdict(collections.Counter) for _ in range(4)]
-    for g, c in zip(grams.tolist(), n.tolist()):
-        seq = (g >> 18, g >> 12 & 63, g >> 6 & 63, g & 63)
-        for order in range(4):
-            trie[order][seq[3 - order : 3]][seq[3]] += c
     p, excluded = 1.0, set()
-    for order in (3, 2, 1, 0):
-        counts = {k: c for k, c in trie[order][tuple(context[3 - order :])].items() if k not in excluded}
+    for order in range(len(context), -1, -1):
+        seen = trie.get(context[len(context) - order :], {})
+        counts = {k: c for k, c in seen.items() if k not in excluded}
         if not counts:
             continue
         whole = sum(counts.values()) + len(counts)
@@ -248,20 +243,40 @@ def slow_ppm(grams, n, context, symbol):
             return p * counts[symbol] / whole
         p *= len(counts) / whole
         excluded |= set(counts)
-    return p / (s - len(excluded))
+    return p / (256 - len(excluded))
 
 
-def test_table_follows_escape_and_exclusion():
+def ppm_trie(texts):
+    order, trie = ppm_scoring.ORDER, collections.defaultdict(collections.Counter)
+    for t in texts:
+        x = ppm_scoring.START + t.lower() + ppm_scoring.END
+        for at in range(order, len(x)):
+            for k in range(order + 1):
+                trie[x[at - k : at]][x[at]] += 1
+    return trie
+
+
+def test_predictions_follow_escape_and_exclusion():
     rng = np.random.default_rng(14)
-    pieces = [np.concatenate(([5, 5, 5], rng.integers(0, 9, 60))).astype(np.uint8) for _ in range(6)]
-    grams, n = np.unique(np.concatenate([ppm_scoring._grams(p) for p in pieces]), return_counts=True)
-    table = ppm_scoring.predictions(grams.astype(np.int32), n)
-    for _ in range(400):
-        *context, symbol = rng.integers(0, 12, 4).tolist()
-        number = context[0] << 18 | context[1] << 12 | context[2] << 6 | symbol
-        assert math.isclose(math.exp(table[number]), slow_ppm(grams, n, context, symbol), rel_tol=1e-5)
-    known = (5 << 18 | 5 << 12 | 5 << 6) + np.arange(64)
-    assert math.isclose(np.exp(table[known].astype(float)).sum(), 1, rel_tol=1e-5)
+    texts = [bytes(rng.integers(97, 101, 80).astype(np.uint8)) for _ in range(6)]
+    trie, size = ppm_trie(texts), ppm_scoring.ORDER
+    trigrams = collections.Counter()
+    for c, symbols in trie.items():
+        if len(c) == 2:
+            trigrams.update({c[0] << 16 | c[1] << 8 | k: n for k, n in symbols.items()})
+    keys = np.array(sorted(trigrams))
+    contexts = [c for c in trie if len(c) == size][:40] + [bytes(rng.integers(96, 104, size).astype(np.uint8)) for _ in range(40)]
+    asked = {(c, k) for c in contexts for k in range(256)} | {(c, k) for c in trie if len(c) == size for k in trie[c]}
+    asked = sorted((int.from_bytes(c + bytes([k]), "big"), c, k) for c, k in asked)
+    grams = np.array([g for g, _, _ in asked])
+    n = np.array([trie.get(c, {}).get(k, 0) for _, c, k in asked])
+    got = ppm_scoring.predictions(grams, n, keys, np.array([trigrams[k] for k in keys.tolist()]))
+    for (_, c, k), p in zip(asked, got):
+        assert math.isclose(p, slow_ppm(trie, c, k), rel_tol=1e-9)
+    whole = collections.Counter()
+    for (_, c, _), p in zip(asked, got):
+        whole[c] += p
+    assert all(math.isclose(whole[c], 1, rel_tol=1e-9) for c in contexts)
 
 
 @pytest.mark.parametrize("block_bytes", [6_000_000, 500])
@@ -278,7 +293,16 @@ def test_scores_match_brute_force(spark, monkeypatch, block_bytes):
     want = sorted((-1 if i is None else i, len(split(t)), sum(counts[w] > 0 for w in split(t)),
                    round(sum(math.log10((counts[w] + 1) / (total + size + 1)) for w in split(t)), 6)) for i, t, _ in rows)
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
-    assert {r.train_tokens for r in got} == {total} and all(r.score < 0 for r in got)
+    assert {r.train_tokens for r in got} == {total}
+    trie = ppm_trie([(t or "").encode() for i, t, _ in rows if i is not None and i % 3])
+
+    def whole(text):
+        x, size = ppm_scoring.START + (text or "").encode().lower() + ppm_scoring.END, ppm_scoring.ORDER
+        return sum(math.log10(slow_ppm(trie, x[at - size : at], x[at])) for at in range(size, len(x)))
+
+    want = sorted((-1 if i is None else i, whole(t)) for i, t, _ in rows)
+    for (_, w), (_, g) in zip(want, sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got)):
+        assert math.isclose(w, g, rel_tol=1e-5)
     assert ppm_scoring.score(df.limit(0), F.lit(True)).count() == 0
     none = ppm_scoring.score(df, F.lit(False)).collect()
     assert len(none) == len(rows) and {(r.train_tokens, r.n_known) for r in none} == {(0, 0)}

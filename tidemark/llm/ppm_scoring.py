@@ -1,13 +1,15 @@
 """Language-model scores by prediction by partial matching, beside a smoothed unigram of words.
 
-The model is a trie of byte contexts of length 0 to 3. A symbol is predicted by the longest known context; a context
-that has not seen it escapes (the number of its distinct symbols against its count) to the next shorter one, where the
-symbols it had seen are excluded. Symbols are the 62 most frequent bytes, an end mark, and one class for all other
-bytes with its own distribution, so the trie has at most 64^4 entries and its predictions fit one table of 2^24
-numbers. Counts come from all training texts.
-
-The unigram needs the corpus count of every word. Blocks of documents send their distinct words, with the
-number of training occurrences, to hash buckets and get the totals back; a frequent word is one entry per block.
+The model is a trie of byte contexts of length 0 to ``ORDER``. A symbol is predicted by the longest known context; a
+context that has not seen it escapes (the number of its distinct symbols against its count) to the next shorter one, where
+the symbols it had seen are excluded. Symbols are all bytes, lower-cased in A-Z, and an end mark. Counts come from all
+training texts.
+
+The trie is not held anywhere as a whole. Blocks of documents send their distinct grams (context and symbol) with the
+number of training occurrences to hash buckets of the last three context bytes, so that a bucket has every context
+that ends in them; it returns one log-probability per gram. Only the counts of byte trigrams, which give contexts of up
+to two bytes, are shared by all tasks. The unigram needs the corpus count of every word, which travels the same
+way. A frequent word or gram is one entry per block.
 """
 
 from __future__ import annotations
@@ -25,241 +27,252 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import crc_class, pack, slices, small_batches, table, text_bytes, unpack
 
-SYMBOLS = 64
-OTHER = SYMBOLS - 1
-END = 0xFF  # never part of UTF-8
-START = 10
+#: Longest context in bytes; a gram and its context fit 64 bits up to 6.
+ORDER = 5
+START = b"\n" * ORDER
+END = b"\xff"  # never part of UTF-8
 BLOCK_BYTES = 6_000_000
 BUCKET_BYTES = 12_000_000
+#: Positions that are looked at together.
+CHUNK = 1 << 21
+#: Offset that tells returned grams from returned words.
+GRAMS = 1 << 40
 LN10 = np.log(10)
 
 
-def _codes(text: bytes, lookup: np.ndarray) -> np.ndarray:
-    """Symbols of three start marks, the lower-cased text and the end mark."""
-    return lookup[np.frombuffer(bytes([START] * 3) + text.lower() + bytes([END]), np.uint8)]
+# -- grams -------------------------------------------------------------------------------------
 
+def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, each behind its start marks and before an end mark, and what each text has to predict."""
+    joined = b"".join(START + t.lower() + END for t in texts)
+    return np.frombuffer(joined, np.uint8), np.array([len(t) + 1 for t in texts], np.int64)
 
-def _grams(codes: np.ndarray) -> np.ndarray:
-    """Numbers of all (context of 3, symbol), the first symbol of the text first."""
-    x = codes.astype(np.int32)
-    return (x[:-3] << 18) | (x[1:-2] << 12) | (x[2:-1] << 6) | x[3:]
 
+def _windows(stream: np.ndarray, sizes: np.ndarray, order: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunks of the grams of all predicted positions, with the number of their text."""
+    order = ORDER if order is None else order
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + ORDER)
+    starts = np.cumsum(sizes + ORDER) - (sizes + ORDER)
+    predicted = np.ones(len(stream), bool)
+    for i in range(ORDER):
+        predicted[starts + i] = False
+    for at in range(ORDER, len(stream), CHUNK):
+        stop = min(at + CHUNK, len(stream))
+        gram = np.zeros(stop - at, np.int32 if order < 3 else np.int64)
+        for back in range(order, -1, -1):
+            gram <<= 8
+            gram |= stream[at - back : stop - back]
+        keep = predicted[at:stop]
+        yield gram[keep], doc[at:stop][keep]
 
-# -- the model ---------------------------------------------------------------------------------
 
-def byte_counts(training: DataFrame) -> np.ndarray:
-    """Occurrences of each byte in all training texts, and of the end mark: 256 numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer((text or b"").lower(), np.uint8), minlength=256)
-                total[END] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array(total)], names=["byte", "n"])
-
-    rows = training.mapInArrow(run, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(256, np.int64)
-    for r in rows:
-        out[r["byte"]] = r["n"]
-    return out
-
-
-def symbol_table(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbol of each byte, and the log-probability of each byte given its symbol."""
-    ordered = [b for b in np.lexsort((np.arange(256), -counts)) if b != END][: SYMBOLS - 2]
-    lookup = np.full(256, OTHER, np.uint8)
-    lookup[END] = 0
-    lookup[ordered] = np.arange(1, SYMBOLS - 1)
-    rest = lookup == OTHER
-    extra = np.zeros(256)
-    extra[rest] = np.log((counts[rest] + 1) / (counts[rest].sum() + rest.sum()))
-    return lookup, extra
-
-
-def gram_counts(training: DataFrame, lookup: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and counts of the grams of all training texts; at most 2^24, whatever the corpus."""
+def _distinct(stream: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(g) for g, _ in _windows(stream, sizes))]))
+
+
+def _trained(stream: np.ndarray, sizes: np.ndarray, learned: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Training occurrences of each distinct gram."""
+    n = np.zeros(len(distinct), np.int64)
+    for gram, doc in _windows(stream, sizes):
+        own, times = np.unique(gram[learned[doc]], return_counts=True)
+        n[np.searchsorted(distinct, own)] += times
+    return n
+
+
+def _gram_buckets(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of grams by bucket, and where each bucket starts in it."""
+    mixed = ((grams >> 8) & 0xFFFFFF) * 0x9E3779B1 & 0xFFFFFFFF
+    bucket = (mixed >> 8) % buckets
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def trigram_counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and counts of the byte trigrams of all training texts; at most 2^24, whatever the corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**4, np.int32)
+        total = np.zeros(1 << 24, np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for start, stop in slices([len(t or b"") for t in texts], BLOCK_BYTES):
-                found = np.concatenate([_grams(_codes(t or b"", lookup)) for t in texts[start:stop]])
-                grams, n = np.unique(found, return_counts=True)
-                total[grams] += n.astype(np.int32)
+            texts = [t or b"" for t in batch.column(0).to_pylist()]
+            for start, stop in slices([len(t) for t in texts], BLOCK_BYTES):
+                for gram, _ in _windows(*_stream(texts[start:stop]), order=2):
+                    own, times = np.unique(gram, return_counts=True)
+                    total[own] += times
         at = np.flatnonzero(total)
         for part in range(0, len(at), 1 << 18):
             some = at[part : part + (1 << 18)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array(total[some].astype(np.int64))], names=["gram", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["gram", "n"])
 
-    sums = training.mapInArrow(run, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()
+    found = training.mapInArrow(run, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     grams = found["gram"].to_numpy()
     order = np.argsort(grams)
-    return grams[order].astype(np.int32), found["n"].to_numpy()[order]
+    return grams[order].astype(np.int64), found["n"].to_numpy()[order].astype(np.int64)
+
+
+# -- the model ---------------------------------------------------------------------------------
 
+class Level:
+    """Grams of one order, sorted, with their counts and predictions.
 
-def predictions(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Natural-log probability of every symbol after every context of 3, by number.
+    ``fresh`` is the prediction of a context that is entered first, ``after`` that of the context's suffixes once it
+    has escaped, which excludes the symbols it has seen. ``total`` and ``distinct`` belong to the context.
+    """
 
-    ``fresh`` is the prediction of a context that is entered first, ``after[c]`` that of its suffix once ``c`` has
-    escaped: the symbols seen in ``c``, which the suffix has seen too, are excluded there.
+    def __init__(self, keys, n, total, distinct, after, fresh):
+        self.keys, self.n, self.total, self.distinct, self.after, self.fresh = keys, n, total, distinct, after, fresh
+
+
+def lowest(n: np.ndarray) -> Level:
+    """Symbols without a context; those never seen share the escape alike."""
+    seen, total = n > 0, float(n.sum())
+    distinct = int(seen.sum())
+    after = np.full(256, 1.0 / max(256 - distinct, 1))
+    mass = total + distinct
+    fresh = np.where(seen, n / mass, distinct / mass * after) if mass else np.full(256, 1.0 / 256)
+    return Level(np.arange(256), n.astype(float), np.full(256, total), np.full(256, distinct), after, fresh)
+
+
+def longer(short: Level, keys: np.ndarray, n: np.ndarray, order: int) -> Level:
+    """The grams ``keys`` of contexts one longer; the suffix of each is in ``short``, and contexts are complete."""
+    at = np.searchsorted(short.keys, keys & ((1 << 8 * order) - 1))
+    group = np.cumsum(np.diff(keys >> 8, prepend=-1) != 0) - 1
+    seen, n = n > 0, n.astype(float)
+    per_context = lambda x: np.bincount(group, weights=x)[group] if len(group) else np.zeros(0)
+    total, distinct = per_context(n), per_context(seen)
+    suffix = short.n[at]
+    new = short.distinct[at] - distinct
+    whole = short.total[at] - per_context(np.where(seen, suffix, 0.0)) + new
+    some = np.maximum(whole, 1)
+    after = np.where(suffix > 0, suffix / some, np.where(whole > 0, new / some, 1.0) * short.after[at])
+    mass = total + distinct
+    fresh = np.where(mass > 0, np.where(seen, n, distinct * after) / np.maximum(mass, 1), short.fresh[at])
+    return Level(keys, n, total, distinct, after, fresh)
+
+
+def predictions(grams: np.ndarray, n: np.ndarray, trigrams: np.ndarray, trigram_n: np.ndarray) -> np.ndarray:
+    """Probability of the symbol of every gram after its context.
+
+    ``grams`` are sorted and distinct, with their training counts, and hold all grams of the corpus whose
+    contexts end in the same three bytes; ``trigrams`` holds those of the whole corpus.
     """
-    s = SYMBOLS
-    counts: list[np.ndarray] = []
-    for order in range(3):
-        short = np.zeros(s ** (order + 1))
-        np.add.at(short, grams % s ** (order + 1), n)
-        counts.append(short.reshape(-1, s))
-    seen0 = counts[0] > 0
-    left = s - seen0.sum()
-    after = np.full((1, s), 1.0 / left if left else 1.0)
-    total = counts[0].sum()
-    distinct = seen0.sum()
-    if total:
-        fresh = np.where(seen0, counts[0], distinct * after) / (total + distinct)
-    else:
-        fresh = np.full((1, s), 1.0 / s)
-
-    def longer(own: np.ndarray, short: np.ndarray, after: np.ndarray, fresh: np.ndarray):
-        """The same for contexts one longer; row i of ``own`` has the suffix row i of ``short``."""
-        seen = own > 0
-        excluded = np.where(seen, 0.0, short)
-        rest = excluded.sum(axis=1, keepdims=True)
-        new = (short > 0).sum(axis=1, keepdims=True) - seen.sum(axis=1, keepdims=True)
-        whole = rest + new
-        escape = np.divide(new, whole, out=np.ones_like(whole), where=whole > 0)
-        share = np.divide(excluded, whole, out=np.zeros_like(excluded), where=whole > 0)
-        next_after = np.where(short > 0, share, escape * after)
-        total, distinct = own.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
-        mass = total + distinct
-        next_fresh = np.where(seen, own, distinct * next_after) / np.maximum(mass, 1)
-        return next_after, np.where(mass > 0, next_fresh, fresh)
-
-    for order in (1, 2):
-        own = counts[order]
-        tile = lambda x: np.tile(x, (s, 1))
-        after, fresh = longer(own, tile(counts[order - 1]), tile(after), tile(fresh))
-    out = np.empty(s**4, np.float32)
-    cuts = np.searchsorted(grams, np.arange(s + 1, dtype=np.int64) * s**3)
-    for first in range(s):
-        part = slice(cuts[first], cuts[first + 1])
-        own = np.zeros(s**3)
-        own[grams[part] - first * s**3] = n[part]
-        _, found = longer(own.reshape(-1, s), counts[2], after, fresh)
-        out[first * s**3 : (first + 1) * s**3] = np.log(np.maximum(found, 1e-300)).ravel()
-    return out
-
-
-_TABLES: dict[str, np.ndarray] = {}
-
-
-class Model:
-    """What a worker needs; the table of predictions is built once per process."""
-
-    def __init__(self, name: str, lookup, extra, grams, n):
-        self.name, self.lookup, self.extra, self.grams, self.n = name, lookup, extra, grams, n
-
-    def score(self, text: bytes) -> float:
-        """Log10 probability of a text and its end."""
-        if self.name not in _TABLES:
-            _TABLES.clear()
-            _TABLES[self.name] = predictions(self.grams, self.n)
-        table_, total = _TABLES[self.name], 0.0
-        codes = _codes(text, self.lookup)
-        for at in range(0, len(codes) - 3, 1 << 20):
-            total += table_[_grams(codes[at : at + (1 << 20) + 3])].sum(dtype=np.float64)
-        others = np.bincount(np.frombuffer(text.lower(), np.uint8), minlength=256) @ self.extra
-        return float((total + others) / LN10)
-
-
-def fit(training: DataFrame) -> Model:
-    """Learn from the only column of ``training``, texts in UTF-8; null is the empty text."""
-    lookup, extra = symbol_table(byte_counts(training))
-    grams, n = gram_counts(training, lookup)
-    name = xxhash.xxh64_hexdigest(pack(lookup, grams, n))
-    return Model(name, lookup, extra, grams, n)
-
-
-# -- words and scores --------------------------------------------------------------------------
-
-def _block(texts: list[bytes], learned: np.ndarray, buckets: int):
-    """Blobs of the distinct words per bucket, and of the words of each document in this block's order."""
+    level = lowest(np.bincount(trigrams & 0xFF, weights=trigram_n, minlength=256))
+    pairs = np.bincount(trigrams & 0xFFFF, weights=trigram_n, minlength=1 << 16)
+    level = longer(level, np.arange(1 << 16), pairs, 1)
+    for order in range(2, ORDER + 1):
+        keys, at = np.unique(grams & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+        counts = np.bincount(at, weights=n, minlength=len(keys))
+        if order == 2:
+            keys = np.union1d(trigrams, keys)
+            counts = np.zeros(len(keys))
+            counts[np.searchsorted(keys, trigrams)] = trigram_n
+        level = longer(level, keys, counts, order)
+    return level.fresh
+
+
+# -- blocks and buckets ------------------------------------------------------------------------
+
+def _words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words, the number of each word of all texts, and the words of each text."""
     known: dict[bytes, int] = {}
     number = lambda w: known.setdefault(w, len(known))
     found = [np.fromiter(map(number, t.lower().split()), np.int32) for t in texts]
     sizes = np.array([len(x) for x in found], np.int64)
-    words = np.concatenate(found) if found else np.zeros(0, np.int32)
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    trained = np.bincount(words, weights=learned[doc], minlength=len(known)).astype(np.int64)
+    return list(known), np.concatenate([np.zeros(0, np.int32), *found]), sizes
+
+
+def _word_buckets(known: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of words, their order by bucket, and where each bucket starts in it."""
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
-    checks = np.fromiter((zlib.crc32(w) for w in known), np.uint32, len(known))
     bucket = (hashes >> np.uint64(33)).astype(np.int64) % buckets
     order = np.lexsort((hashes, bucket))
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    out = []
+    return hashes, order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _block(texts: list[bytes], learned: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, start, blob) of the distinct words and grams; buckets of grams follow those of words."""
+    known, words, sizes = _words(texts)
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    trained = np.bincount(words, weights=learned[doc], minlength=len(known)).astype(np.int64)
+    hashes, order, cuts = _word_buckets(known, buckets)
+    checks = np.fromiter((zlib.crc32(w) for w in known), np.uint32, len(known))
     for b in range(buckets):
         own = order[cuts[b] : cuts[b + 1]]
         if len(own):
-            out.append((b, cuts[b], pack(hashes[own], checks[own], trained[own])))
-    pairs, times = np.unique(doc * len(known) + place[words], return_counts=True) if len(words) else (np.zeros(0, np.int64),) * 2
-    width = max(len(known), 1)
-    per_doc = np.bincount(pairs // width, minlength=len(texts))
-    small = np.uint8 if len(times) == 0 or times.max() < 256 else np.uint32
-    home = pack(per_doc, (pairs % width).astype(np.uint32), times.astype(small))
-    return out, zlib.compress(home, 1), sizes
+            yield b, int(cuts[b]), pack(hashes[own], checks[own], trained[own])
+    stream, sizes = _stream(texts)
+    grams = _distinct(stream, sizes)
+    trained = _trained(stream, sizes, learned, grams)
+    order, cuts = _gram_buckets(grams, buckets)
+    for b in range(buckets):
+        own = order[cuts[b] : cuts[b + 1]]
+        if len(own):
+            small = np.uint16 if trained[own].max() < 1 << 16 else np.int64
+            blob = pack(np.diff(grams[own], prepend=0), trained[own].astype(small))
+            yield buckets + b, GRAMS + int(cuts[b]), zlib.compress(blob, 1)
 
 
 BLOCKS = "block bigint, bucket bigint, start bigint, blob binary, info binary"
 
 
-def _mapper(model_ref, buckets: int):
+def _mapper(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        model = model_ref.value
         block = TaskContext.get().partitionId() << 32
         for pdf in batches:
             texts = [t if t is not None else b"" for t in pdf["text"]]
             for start, stop in slices([len(t) for t in texts], BLOCK_BYTES):
-                part = pdf.iloc[start:stop]
+                part, own = pdf.iloc[start:stop], texts[start:stop]
                 learned = part["learned"].to_numpy(bool)
-                out, home, sizes = _block(texts[start:stop], learned, buckets)
-                scores = np.array([model.score(t) for t in texts[start:stop]])
-                ids = part["id"].to_numpy(np.int64)
-                info = pack(ids, part["has_id"].to_numpy(bool), learned, sizes, scores)
-                rows = [(block, b, at, blob, None) for b, at, blob in out]
-                rows.append((block, buckets + block, 0, home, info))
+                rows = [(block, b, at, blob, None) for b, at, blob in _block(own, learned, buckets)]
+                info = pack(part["id"].to_numpy(np.int64), part["has_id"].to_numpy(bool), learned)
+                # The texts wait for the answers.
+                rows.append((block, 2 * buckets + block, 0, zlib.compress(pack(own), 1), info))
                 yield pd.DataFrame(rows, columns=["block", "bucket", "start", "blob", "info"])
                 block += 1
 
     return run
 
 
-def _reducer(buckets: int):
+def _merged_words(pdf: pd.DataFrame) -> list[tuple]:
+    parts = [unpack(b) for b in pdf["blob"]]
+    hashes, checks, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((checks, hashes))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    total = np.bincount(group, weights=n).astype(np.int64)
+    counts = total[group]
+    at, rows = 0, []
+    for (own, _, _), block, start in zip(parts, pdf["block"], pdf["start"]):
+        rows.append((block, 0, start, pack(counts[at : at + len(own)]), None))
+        at += len(own)
+    # The bucket's share of the vocabulary travels as a block of its own.
+    rows.append((-1 - int(pdf["bucket"].iloc[0]), 0, 0, pack(np.array([(total > 0).sum(), total.sum()])), None))
+    return rows
+
+
+def _merged_grams(pdf: pd.DataFrame, trigrams: tuple[np.ndarray, np.ndarray]) -> list[tuple]:
+    parts = [unpack(zlib.decompress(b)) for b in pdf["blob"]]
+    sizes = [len(own) for own, _ in parts]
+    grams, group = np.unique(np.concatenate([np.cumsum(own) for own, _ in parts]), return_inverse=True)
+    n = np.bincount(group, weights=np.concatenate([n for _, n in parts]))
+    logs = np.log(np.maximum(predictions(grams, n, *trigrams), 1e-300)).astype(np.float32)[group]
+    ends = np.cumsum(sizes)
+    return [
+        (block, 0, start, pack(logs[end - size : end]), None)
+        for block, start, size, end in zip(pdf["block"], pdf["start"], sizes, ends)
+    ]
+
+
+def _reducer(trigrams_ref, buckets: int):
     names = ["block", "bucket", "start", "blob", "info"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["bucket"].iloc[0] >= buckets:
+        bucket = pdf["bucket"].iloc[0]
+        if bucket >= 2 * buckets:
             return pdf[names]
-        parts = [unpack(b) for b in pdf["blob"]]
-        hashes, checks, n = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((checks, hashes))
-        new = np.ones(len(order), bool)
-        new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(new) - 1
-        total = np.bincount(group, weights=n).astype(np.int64)
-        counts = total[group]
-        at, rows = 0, []
-        for (own, _, _), block, start in zip(parts, pdf["block"], pdf["start"]):
-            rows.append((block, 0, start, pack(counts[at : at + len(own)]), None))
-            at += len(own)
-        # The bucket's share of the vocabulary travels as a block of its own.
-        rows.append((-1 - int(pdf["bucket"].iloc[0]), 0, 0, pack(np.array([(total > 0).sum(), total.sum()])), None))
+        rows = _merged_words(pdf) if bucket < buckets else _merged_grams(pdf, trigrams_ref.value)
         return pd.DataFrame(rows, columns=names)
 
     return run
@@ -268,25 +281,41 @@ def _reducer(buckets: int):
 DOCS = "id bigint, has_id boolean, learned boolean, n_words bigint, n_known bigint, logs double, score double, vocabulary bigint, trained bigint"
 
 
-def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
+def _finisher(buckets: int):
     names = [c.split()[0] for c in DOCS.split(", ")]
-    if pdf["block"].iloc[0] < 0:
-        vocabulary, trained = unpack(pdf["blob"].iloc[0])[0]
-        row = (0, False, False, 0, 0, 0.0, 0.0, int(vocabulary), int(trained))
-        return pd.DataFrame([row], columns=names)
-    home = pdf[pdf["info"].notna()].iloc[0]
-    ids, has_id, learned, sizes, scores = unpack(home["info"])
-    per_doc, word, times = unpack(zlib.decompress(home["blob"]))
-    back = pdf[pdf["info"].isna()].sort_values("start")
-    counts = np.concatenate([unpack(b)[0] for b in back["blob"]]) if len(back) else np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(ids)), per_doc)
-    n = counts[word]
-    sums = lambda x: np.bincount(doc, weights=x, minlength=len(ids))
-    return pd.DataFrame({
-        "id": ids, "has_id": has_id, "learned": learned, "n_words": sizes, "n_known": sums(times * (n > 0)).astype(np.int64),
-        "logs": sums(times * np.log10(n + 1.0)), "score": scores,
-        "vocabulary": np.zeros(len(ids), np.int64) - 1, "trained": np.zeros(len(ids), np.int64),
-    })
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["block"].iloc[0] < 0:
+            vocabulary, trained = unpack(pdf["blob"].iloc[0])[0]
+            row = (0, False, False, 0, 0, 0.0, 0.0, int(vocabulary), int(trained))
+            return pd.DataFrame([row], columns=names)
+        home = pdf[pdf["info"].notna()].iloc[0]
+        ids, has_id, learned = unpack(home["info"])
+        texts = unpack(zlib.decompress(home["blob"]))[0]
+        back = pdf[pdf["info"].isna()].sort_values("start")
+
+        def answers(rows: pd.DataFrame, order: np.ndarray, kind) -> np.ndarray:
+            out = np.empty(len(order), kind)
+            out[order] = np.concatenate([np.zeros(0, kind), *(unpack(b)[0] for b in rows["blob"])])
+            return out
+
+        known, words, n_words = _words(texts)
+        counts = answers(back[back["start"] < GRAMS], _word_buckets(known, buckets)[1], np.int64)[words]
+        doc = np.repeat(np.arange(len(texts)), n_words)
+        sums = lambda x, d: np.bincount(d, weights=x, minlength=len(texts))
+        stream, sizes = _stream(texts)
+        grams = _distinct(stream, sizes)
+        logs = answers(back[back["start"] >= GRAMS], _gram_buckets(grams, buckets)[0], np.float32)
+        score = np.zeros(len(texts))
+        for gram, of in _windows(stream, sizes):
+            score += sums(logs[np.searchsorted(grams, gram)], of)
+        return pd.DataFrame({
+            "id": ids, "has_id": has_id, "learned": learned, "n_words": n_words,
+            "n_known": sums(counts > 0, doc).astype(np.int64), "logs": sums(np.log10(counts + 1.0), doc),
+            "score": score / LN10, "vocabulary": np.zeros(len(ids), np.int64) - 1, "trained": np.zeros(len(ids), np.int64),
+        })
+
+    return run
 
 
 def score(docs: DataFrame, learned, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,11 +331,12 @@ def score(docs: DataFrame, learned, id_col: str = "doc_id", text: str = "text")
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("has_id"),
         F.coalesce(learned, F.lit(False)).alias("learned"), F.col(text).cast("binary").alias("text"),
     )
-    model = spark.sparkContext.broadcast(fit(rows.where("learned").select("text")))
+    # At most 2^24 trigrams, whatever the corpus.
+    trigrams = spark.sparkContext.broadcast(trigram_counts(rows.where("learned").select("text")))
     buckets = max(32, text_bytes(docs, text) // BUCKET_BYTES)
-    blobs = rows.mapInPandas(_mapper(model, buckets), BLOCKS)
-    counted = blobs.groupBy("bucket").applyInPandas(_reducer(buckets), BLOCKS)
-    finished = materialize(counted.groupBy("block").applyInPandas(_finish, DOCS), "scores")
+    blobs = rows.mapInPandas(_mapper(buckets), BLOCKS)
+    counted = blobs.groupBy("bucket").applyInPandas(_reducer(trigrams, buckets), BLOCKS)
+    finished = materialize(counted.groupBy("block").applyInPandas(_finisher(buckets), DOCS), "scores")
     found = finished.where("vocabulary < 0")
     totals = finished.where("vocabulary >= 0").agg(
         F.coalesce(F.sum("vocabulary"), F.lit(0)).alias("words"), F.coalesce(F.sum("trained"), F.lit(0)).alias("said"),
