@@ -66,17 +66,14 @@ def _windows(stream: np.ndarray, sizes: np.ndarray, order: int | None = None) ->
         yield gram[keep], doc[at:stop][keep]
 
 
-def _distinct(stream: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(g) for g, _ in _windows(stream, sizes))]))
-
-
-def _trained(stream: np.ndarray, sizes: np.ndarray, learned: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    """Training occurrences of each distinct gram."""
-    n = np.zeros(len(distinct), np.int64)
-    for gram, doc in _windows(stream, sizes):
-        own, times = np.unique(gram[learned[doc]], return_counts=True)
-        n[np.searchsorted(distinct, own)] += times
-    return n
+def _numbered(stream: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams in order, and of every predicted position the number of its gram and of its text."""
+    parts = [(*pd.factorize(gram), doc) for gram, doc in _windows(stream, sizes)]
+    grams = np.sort(np.concatenate([np.zeros(0, np.int64), *(own for _, own, _ in parts)]))
+    grams = grams[np.diff(grams, prepend=-1) != 0]
+    none = np.zeros(0, np.int32)
+    number = np.concatenate([none, *(np.searchsorted(grams, own).astype(np.int32)[at] for at, own, _ in parts)])
+    return grams, number, np.concatenate([none, *(doc for _, _, doc in parts)])
 
 
 def _gram_buckets(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,9 +195,8 @@ def _block(texts: list[bytes], learned: np.ndarray, buckets: int) -> Iterator[tu
         own = order[cuts[b] : cuts[b + 1]]
         if len(own):
             yield b, int(cuts[b]), pack(hashes[own], checks[own], trained[own])
-    stream, sizes = _stream(texts)
-    grams = _distinct(stream, sizes)
-    trained = _trained(stream, sizes, learned, grams)
+    grams, number, doc = _numbered(*_stream(texts))
+    trained = np.bincount(number, weights=learned[doc], minlength=len(grams)).astype(np.int64)
     order, cuts = _gram_buckets(grams, buckets)
     for b in range(buckets):
         own = order[cuts[b] : cuts[b + 1]]
@@ -303,12 +299,9 @@ def _finisher(buckets: int):
         counts = answers(back[back["start"] < GRAMS], _word_buckets(known, buckets)[1], np.int64)[words]
         doc = np.repeat(np.arange(len(texts)), n_words)
         sums = lambda x, d: np.bincount(d, weights=x, minlength=len(texts))
-        stream, sizes = _stream(texts)
-        grams = _distinct(stream, sizes)
+        grams, number, of = _numbered(*_stream(texts))
         logs = answers(back[back["start"] >= GRAMS], _gram_buckets(grams, buckets)[0], np.float32)
-        score = np.zeros(len(texts))
-        for gram, of in _windows(stream, sizes):
-            score += sums(logs[np.searchsorted(grams, gram)], of)
+        score = sums(logs[number], of)
         return pd.DataFrame({
             "id": ids, "has_id": has_id, "learned": learned, "n_words": n_words,
             "n_known": sums(counts > 0, doc).astype(np.int64), "logs": sums(np.log10(counts + 1.0), doc),
