@@ -202,6 +202,15 @@ def test_languages_on_held_out_rows(spark):
     assert language_id.predict(odd, nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def test_repeated_texts_enter_the_language_sample_once(spark):
+    df = languages(spark, 20)
+    hot = df.where("lang IS NOT NULL").limit(1).crossJoin(spark.range(300)).select(*df.columns)
+    once = language_id.fit(df, sample_rows=10**6)
+    more = language_id.fit(df.unionByName(hot), sample_rows=10**6)
+    assert once.machines == more.machines
+    assert np.allclose(once.weights, more.weights, atol=1e-6) and np.allclose(once.bias, more.bias, atol=1e-6)
+
+
 def brute_rules(text):
     text = text or ""
     found = WORD.findall(text)

@@ -103,8 +103,9 @@ class Model:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS, families=None) -> Model:
-    """Fit all machines on about ``sample_rows`` labelled rows of each language, chosen by a hash of the text.
+    """Fit all machines on at most about ``sample_rows`` labelled texts of each language, chosen by a hash of the text.
 
+    A text that is repeated under one label enters once.
     Rows with a null label or a text without a letter are left out. Without a labelled row the model knows no language.
     """
     families = FAMILIES if families is None else families
@@ -123,7 +124,10 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_row
     share = F.lit(1.0)
     for name, n in counts.items():
         share = F.when(F.col(label) == name, F.lit(min(1.0, sample_rows / n))).otherwise(share)
-    chosen = usable.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < share * 1_000_000)
+    # Copies of a text share its hash; one of them is enough, so that a hot text cannot outgrow the sample.
+    chosen = usable.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < share * 1_000_000).withColumn(
+        "__hash", F.xxhash64(text)
+    ).dropDuplicates([label, "__hash"])
     vector = F.udf(features, VectorUDT())
     rows = materialize(chosen.select(F.col(label).alias("lang"), vector(text).alias("features")), "languages").coalesce(4).cache()
     weights, bias = np.zeros((WIDTH, len(machines))), np.zeros(len(machines))
