@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from tidemark.plans.marts import mart
 from tidemark.plans.oracle import ORACLE
+from tidemark.plans.oracle_base import exact_sum, half_up
 from tidemark.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -59,3 +61,15 @@ def test_query_matches_duckdb(spark, duck, name):
     for a, b in zip(ours, theirs):
         for x, y in zip(a, b):
             assert x == y or (isinstance(x, float) and x == pytest.approx(y, rel=1e-9, abs=1e-9))
+
+
+def test_marts_round_once(spark, duck):
+    amounts = {1: [1.00499996], 2: [0.5, 0.505], 3: [0.1] * 10 + [0.005], 4: [-1.005], 5: [None, float("inf")]}
+    rows = [(2020, f"Q{q}", q, f"2020-Q{q}", 1, a, a) for q, all_ in amounts.items() for a in all_]
+    fact = spark.createDataFrame(rows, "year int, quarter string, quarter_num int, year_quarter string, order_count int, "
+                                       "revenue double, profit double")
+    got = {r.quarter_num: r.total_revenue for r in mart(spark, "sales_by_quarter", {"fact_sales": fact}).collect()}
+    assert got == {1: 1.0, 2: 1.01, 3: 1.01, 4: -1.01, 5: None}
+    for q in (1, 2, 3, 4):
+        values = ", ".join(f"({a!r}::double)" for a in amounts[q])
+        assert duck.sql(f"select {half_up(exact_sum('v'))} from (values {values}) t(v)").fetchall() == [(got[q],)]

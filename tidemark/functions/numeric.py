@@ -19,9 +19,9 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
 
 
-def round_half_up(c: Column | str, digits: int = 2, guard: int = 2) -> Column:
-    """SQL rounding. The first round, ``guard`` digits finer, drops summation noise so re-runs agree on ties."""
-    return F.round(F.round(col(c), digits + guard), digits)
+def round_half_up(c: Column | str, digits: int = 2) -> Column:
+    """SQL rounding, once: ties away from zero on the shortest decimal form of a double."""
+    return F.round(col(c), digits)
 
 
 def round_half_even(c: Column | str, digits: int = 2) -> Column:

@@ -3,6 +3,9 @@
 Each mart is one text over ``{fact_sales}``, ``{dim_customer}`` ... placeholders. The placeholders
 take DataFrames (``mart``) or catalog names (``sources/catalog.py`` creates the views from the
 same texts). Facts are aggregated before they meet a dimension.
+
+Amounts are summed as exact decimals of ten places, so totals do not depend on the order of rows and are rounded once.
+Infinite and not-a-number amounts count as missing there.
 """
 
 from __future__ import annotations
@@ -10,54 +13,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 _PERIOD = "year * 4 + quarter_num"
+_SUMS = "sum(try_cast(revenue AS decimal(28, 10))) AS revenue, sum(try_cast(profit AS decimal(28, 10))) AS profit"
 
-SALES_BY_PRODUCT = """
+SALES_BY_PRODUCT = f"""
 WITH per_id AS (
   SELECT product_id, count(*) AS n, sum(order_count) AS orders, sum(quantity_sold) AS quantity,
-         sum(revenue) AS revenue, sum(profit) AS profit
-  FROM {fact_sales} GROUP BY product_id)
+         {_SUMS}
+  FROM {{fact_sales}} GROUP BY product_id)
 SELECT p.product_line, sum(n) AS transaction_rows, sum(orders) AS total_orders, sum(quantity) AS total_quantity,
-       round(round(sum(revenue), 4), 2) AS total_revenue,
-       round(round(sum(profit), 4), 2) AS total_profit,
-       round(try_divide(sum(profit), sum(revenue)) * 100, 2) AS profit_margin_pct
-FROM per_id LEFT JOIN {dim_product} p ON per_id.product_id = p.product_id
+       cast(round(sum(revenue), 2) AS double) AS total_revenue,
+       cast(round(sum(profit), 2) AS double) AS total_profit,
+       round(try_divide(cast(sum(profit) AS double), cast(sum(revenue) AS double)) * 100, 2) AS profit_margin_pct
+FROM per_id LEFT JOIN {{dim_product}} p ON per_id.product_id = p.product_id
 GROUP BY p.product_line
 """
 
-SALES_BY_QUARTER = """
+SALES_BY_QUARTER = f"""
 SELECT year, quarter, quarter_num, year_quarter, transaction_rows, total_orders,
-       round(round(revenue, 4), 2) AS total_revenue,
-       round(round(profit, 4), 2) AS total_profit,
-       round(try_divide(profit, revenue) * 100, 2) AS profit_margin_pct
+       cast(round(revenue, 2) AS double) AS total_revenue,
+       cast(round(profit, 2) AS double) AS total_profit,
+       round(try_divide(cast(profit AS double), cast(revenue AS double)) * 100, 2) AS profit_margin_pct
 FROM (
   SELECT year, quarter, quarter_num, year_quarter, count(*) AS transaction_rows,
-         sum(order_count) AS total_orders, sum(revenue) AS revenue, sum(profit) AS profit
-  FROM {fact_sales} GROUP BY year, quarter, quarter_num, year_quarter)
+         sum(order_count) AS total_orders, {_SUMS}
+  FROM {{fact_sales}} GROUP BY year, quarter, quarter_num, year_quarter)
 """
 
 # avg_clv stays weighted by transactions: customer CLV times the customer's row count.
-SALES_BY_LOYALTY = """
+SALES_BY_LOYALTY = f"""
 WITH per_customer AS (
-  SELECT loyaltystatus, loyalty_rank, customer_id, count(*) AS n, sum(revenue) AS revenue, sum(profit) AS profit
-  FROM {fact_sales} GROUP BY loyaltystatus, loyalty_rank, customer_id)
+  SELECT loyaltystatus, loyalty_rank, customer_id, count(*) AS n, {_SUMS}
+  FROM {{fact_sales}} GROUP BY loyaltystatus, loyalty_rank, customer_id)
 SELECT f.loyaltystatus, f.loyalty_rank, count(f.customer_id) AS unique_customers, sum(n) AS transaction_rows,
-       round(round(sum(revenue), 4), 2) AS total_revenue,
-       round(round(sum(profit), 4), 2) AS total_profit,
-       round(round(try_divide(sum(c.clv * n), sum(CASE WHEN c.clv IS NOT NULL THEN n END)), 6), 2) AS avg_clv,
-       round(round(try_divide(sum(revenue), count(f.customer_id)), 6), 2) AS revenue_per_customer
-FROM per_customer f LEFT JOIN {dim_customer} c ON f.customer_id = c.customer_id
+       cast(round(sum(revenue), 2) AS double) AS total_revenue,
+       cast(round(sum(profit), 2) AS double) AS total_profit,
+       round(try_divide(cast(sum(try_cast(c.clv AS decimal(20, 10)) * cast(n AS decimal(17, 0))) AS double),
+             sum(CASE WHEN try_cast(c.clv AS decimal(20, 10)) IS NOT NULL THEN n END)), 2) AS avg_clv,
+       round(try_divide(cast(sum(revenue) AS double), count(f.customer_id)), 2) AS revenue_per_customer
+FROM per_customer f LEFT JOIN {{dim_customer}} c ON f.customer_id = c.customer_id
 GROUP BY f.loyaltystatus, f.loyalty_rank
 """
 
 CUSTOMER_VALUE = f"""
 WITH bought AS (
-  SELECT customer_id, count(*) AS n, sum(order_count) AS orders, sum(revenue) AS revenue, sum(profit) AS profit,
+  SELECT customer_id, count(*) AS n, sum(order_count) AS orders, {_SUMS},
          max(year_quarter) AS last_label, max({_PERIOD}) AS last_idx
   FROM {{fact_sales}} GROUP BY customer_id)
 SELECT c.customer_id, c.full_name, c.loyaltystatus, c.loyalty_rank, c.clv, c.clv_segment, c.months_as_member,
        coalesce(n, 0) AS transaction_rows, coalesce(orders, 0) AS total_orders,
-       round(round(coalesce(revenue, 0), 4), 2) AS total_revenue,
-       round(round(coalesce(profit, 0), 4), 2) AS total_profit,
+       cast(round(coalesce(revenue, 0), 2) AS double) AS total_revenue,
+       cast(round(coalesce(profit, 0), 2) AS double) AS total_profit,
        last_label AS last_observed_quarter, last_idx AS last_quarter_idx
 FROM {{dim_customer}} c LEFT JOIN bought b ON c.customer_id = b.customer_id
 """

@@ -5,8 +5,18 @@ from __future__ import annotations
 from ..functions import fixed
 
 
-def half_up(expr: str, digits: int = 2, guard: int = 2) -> str:
-    return f"cast(round(cast(({expr}) as decimal(38,{digits + guard})), {digits}) as double)"
+def exact_sum(expr: str) -> str:
+    return f"sum(cast({expr} as decimal(38,10)))"
+
+
+def half_up(expr: str, digits: int = 2) -> str:
+    """Ties away from zero: an exact decimal, rounded once."""
+    return f"cast(round({expr}, {digits}) as double)"
+
+
+def half_up_double(expr: str, digits: int = 2) -> str:
+    """The same on the shortest decimal form of a double."""
+    return half_up(f"cast(cast({expr} as varchar) as decimal(38,12))", digits)
 
 
 def half_even(expr: str, digits: int = 2) -> str:
