@@ -33,7 +33,7 @@ def _round(links: DataFrame) -> DataFrame:
 
 
 def _checksum(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum("v")).first())
+    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(20,0)"))).first())
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
