@@ -5,6 +5,7 @@ import re
 import string
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -184,3 +185,19 @@ def test_repeats_match_brute_force(spark, monkeypatch, block_bytes):
     assert sorted(out, key=str) == brute_repeats(rows, 13)
     assert sum(r[2] for r in out) > 300
     assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_windows_of_one_minimiser_are_told_apart_by_64_bits(monkeypatch):
+    rolling = substring_dedup._rolling
+
+    def collide(x, width):
+        # Windows agree in the lower 32 bits and differ in the upper ones.
+        return rolling(x, width) & np.uint64(0xFFFFFFFF00000000 if width == 13 else 0xFFFFFFFFFFFFFFFF)
+
+    monkeypatch.setattr(substring_dedup, "_rolling", collide)
+    starts = [" ".join(f"w{k}x{i}" for i in range(12)) for k in range(20)]
+    texts = [f"{start} {end}".encode() for start in starts for end in ("one", "two", "two")]
+    blocks = [pd.DataFrame({"id": [i], "mark": [i], "text": [t]}) for i, t in enumerate(texts)]
+    blobs = pd.concat(substring_dedup._mapper(4, 13, 4)(iter(blocks)))
+    paths = pd.concat([substring_dedup._reducer(4)(part) for _, part in blobs.groupby("bucket")])
+    assert sorted(zip(paths["id"], paths["source"], paths["n"])) == [(3 * k + 2, 3 * k + 1, 1) for k in range(20)]

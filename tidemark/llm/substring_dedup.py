@@ -133,7 +133,6 @@ def _mapper(buckets: int, window: int, gram: int):
         bucket = ((low[heads] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         by_bucket = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-        checks = (edge & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         ordinal = doc.astype(np.uint32)
         for b in range(buckets):
             runs = by_bucket[cuts[b] : cuts[b + 1]]
@@ -144,8 +143,9 @@ def _mapper(buckets: int, window: int, gram: int):
             owners, owner = np.unique(ordinal[heads[runs]], return_inverse=True)
             out.append((b, pack(
                 ids[owners], marks[order][owners], owner.astype(np.uint16 if len(owners) < 65536 else np.uint32),
-                (low[heads[runs]] & np.uint64(0xFFFFFFFF)).astype(np.uint32), at[heads[runs]].astype(np.uint32),
-                n.astype(np.uint16 if n.max() < 65536 else np.uint32), checks[np.repeat(heads[runs], n) + inside],
+                at[heads[runs]].astype(np.uint32), n.astype(np.uint16 if n.max() < 65536 else np.uint32),
+                # All 64 bits: windows of one minimiser differ in nothing else.
+                edge[np.repeat(heads[runs], n) + inside],
             )))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,12 +168,12 @@ def _reducer(buckets: int):
         if pdf["bucket"].iloc[0] >= buckets:
             parts = [unpack(b) for b in pdf["blob"]]
             return pd.DataFrame({k: np.concatenate(x) for k, x in zip(names, zip(*parts))})
-        ids, marks, owner, low, at, n, check = ([] for _ in range(7))
+        ids, marks, owner, at, n, key = ([] for _ in range(6))
         base = 0
         for blob in pdf["blob"]:
-            a, b, c, d, e, f, g = unpack(blob)
+            a, b, c, d, e, f = unpack(blob)
             ids.append(a); marks.append(b); owner.append(c.astype(np.int64) + base)  # noqa: E702
-            low.append(d); at.append(e); n.append(f.astype(np.int64)); check.append(g)  # noqa: E702
+            at.append(d); n.append(e.astype(np.int64)); key.append(f)  # noqa: E702
             base += len(a)
         ids, marks = np.concatenate(ids), np.concatenate(marks)
         # Owners in the order of id and mark, so that the first of equal edges is the source.
@@ -184,7 +184,7 @@ def _reducer(buckets: int):
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         edge_at = np.repeat(np.concatenate(at).astype(np.int64), n) + inside
         edge_owner = np.repeat(owner, n)
-        key = (np.repeat(np.concatenate(low).astype(np.uint64), n) << np.uint64(32)) | np.concatenate(check)
+        key = np.concatenate(key)
         # Blocks that were split differently may hold one document twice: equal rank order, any of them.
         order = np.argsort(key, kind="stable")
         new = np.ones(len(order), bool)
