@@ -211,6 +211,20 @@ def test_repeated_texts_enter_the_language_sample_once(spark):
     assert np.allclose(once.weights, more.weights, atol=1e-6) and np.allclose(once.bias, more.bias, atol=1e-6)
 
 
+def test_copies_do_not_thin_the_language_sample(spark):
+    df = languages(spark, 60)
+    # Spanish is rare: four texts, a thousand copies each.
+    rare = df.where("lang = 'es'").orderBy("doc_id").limit(4)
+    copies = rare.crossJoin(spark.range(1000)).select(*df.columns)
+    others = df.where("lang <> 'es'")
+    few = language_id.fit(others.unionByName(rare), sample_rows=20)
+    more = language_id.fit(others.unionByName(copies), sample_rows=20)
+    assert few.machines == more.machines
+    assert np.allclose(few.weights, more.weights, atol=1e-6) and np.allclose(few.bias, more.bias, atol=1e-6)
+    found = language_id.predict(df.where("lang = 'es'"), more)
+    assert found.where("lang_pred = 'es'").count() >= 54
+
+
 def brute_rules(text):
     text = text or ""
     found = WORD.findall(text)

@@ -105,13 +105,15 @@ class Model:
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS, families=None) -> Model:
     """Fit all machines on at most about ``sample_rows`` labelled texts of each language, chosen by a hash of the text.
 
-    A text that is repeated under one label enters once.
+    A text that is repeated under one label counts and enters once.
     Rows with a null label or a text without a letter are left out. Without a labelled row the model knows no language.
     """
     families = FAMILIES if families is None else families
-    usable = labelled.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(text, label)
-    # One row a language.
-    counts = {r[0]: r[1] for r in usable.groupBy(label).count().collect()}
+    usable = labelled.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+        text, label, F.xxhash64(text).alias("__hash")
+    )
+    # One row a language. Distinct texts are counted, because only they are sampled.
+    counts = {r[0]: r[1] for r in usable.select(label, "__hash").distinct().groupBy(label).count().collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"{len(counts)} languages; {MOST_LANGUAGES} at most")
     groups: dict[str, list[str]] = {}
@@ -125,9 +127,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_row
     for name, n in counts.items():
         share = F.when(F.col(label) == name, F.lit(min(1.0, sample_rows / n))).otherwise(share)
     # Copies of a text share its hash; one of them is enough, so that a hot text cannot outgrow the sample.
-    chosen = usable.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < share * 1_000_000).withColumn(
-        "__hash", F.xxhash64(text)
-    ).dropDuplicates([label, "__hash"])
+    chosen = usable.where(F.pmod("__hash", F.lit(1_000_000)) < share * 1_000_000).dropDuplicates([label, "__hash"])
     vector = F.udf(features, VectorUDT())
     rows = materialize(chosen.select(F.col(label).alias("lang"), vector(text).alias("features")), "languages").coalesce(4).cache()
     weights, bias = np.zeros((WIDTH, len(machines))), np.zeros(len(machines))
