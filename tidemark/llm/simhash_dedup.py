@@ -10,7 +10,7 @@ Equal fingerprints are collapsed before, and only real links leave the join.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -136,9 +136,10 @@ def links(distinct: DataFrame, threshold: int = 2, blocks: int | None = None) ->
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = 2, blocks: int | None = None
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = 2, blocks: int | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``id_col, fingerprint, component_id``: one row per document.
+    """``id_col, fingerprint, component_id`` and the columns ``carry``: one row per document.
 
     ``fingerprint`` is 16 lowercase hex digits. Documents link if their fingerprints differ in at most
     ``threshold`` bits. Null, empty and blank texts have fingerprint zero and link like any other. A
@@ -146,7 +147,8 @@ def near_duplicates(
     table gives an empty table. Other columns are not read.
     """
     small_batches(docs)
-    hashed = materialize(fingerprints(docs.select(id_col, text), text, "fp").select(id_col, "fp"), "fingerprints")
+    read = docs.select(id_col, text, *[F.col(f"`{c}`").alias(f"__carried_{c}") for c in carry])
+    hashed = materialize(fingerprints(read, text, "fp").drop(*{text} - {id_col}), "fingerprints")
     distinct = materialize(
         hashed.groupBy("fp").agg(F.min(id_col).cast("bigint").alias("first_id"))
         .withColumn("node", F.coalesce("first_id", F.lit(NO_ID) + F.abs(F.xxhash64("fp") % (1 << 61))))
@@ -164,9 +166,23 @@ def near_duplicates(
         id_col,
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"),
+        *[F.col(f"`__carried_{c}`").alias(c) for c in carry],
     )
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = 2) -> DataFrame:
+    """One row of ``docs`` per group of near duplicates, whole: the smallest id of the group stands for it.
+
+    If that id has several texts in the group, the one with the smallest hash stays; of repeated rows one stays. A
+    group in which no row has an id is left out.
+    """
+    mark = "__text_hash"
+    marked = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    groups = near_duplicates(marked, id_col, text, threshold, carry=[mark])
+    chosen = groups.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.min(mark).alias(mark))
+    return marked.join(chosen, [id_col, mark]).dropDuplicates([id_col, mark]).select(*docs.columns)
+
+
 def op2_simhash_dedup(spark, sf_dir):
     """SimHash groups of all documents at 2 bits."""
     return near_duplicates(table(spark, sf_dir, "documents"))
