@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, near_copies, packing, quality_rules, substring_dedup
+from tidemark.llm import language_id, packing, quality_rules, simhash_dedup, substring_dedup
 from tidemark.session import materialize
 
 
@@ -28,8 +28,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that share at least 0.8 of their 5-word shingles, and what they link, the smallest id stays, once."""
-    return near_copies.representatives(docs)
+    """Of texts whose fingerprints (3-word shingles) differ in 2 bits or fewer, and what they link, the smallest id stays."""
+    return simhash_dedup.representatives(docs)
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
