@@ -9,6 +9,7 @@ from .packing import op7_best_fit_packing
 from .piece_codec import op4_piece_codec
 from .ppm_scoring import op10_ppm_scoring
 from .quality_rules import OP9_SQL, op9_quality_rules
+from .sharding import OP11_SQL, op11_sharding
 from .simhash_dedup import op2_simhash_dedup
 from .substring_dedup import OP8_SQL, op8_substring_dedup
 from .warc import OP5_SQL, op5_warc
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_ppm_scoring": op10_ppm_scoring,
+    "op11_sharding": op11_sharding,
 }
 ORACLE = {
     "op1_embedding_dedup": OP1_SQL,
@@ -31,4 +33,5 @@ ORACLE = {
     "op5_warc": OP5_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op11_sharding": OP11_SQL,
 }
