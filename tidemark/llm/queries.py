@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat_format import OP3_SQL, op3_chat_format
 from .embedding_dedup import OP1_SQL, op1_embedding_dedup
+from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .language_id import op6_language_id
 from .packing import op7_best_fit_packing
 from .piece_codec import op4_piece_codec
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_ppm_scoring": op10_ppm_scoring,
     "op11_sharding": op11_sharding,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE = {
     "op1_embedding_dedup": OP1_SQL,
@@ -34,4 +36,5 @@ ORACLE = {
     "op8_substring_dedup": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
     "op11_sharding": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
