@@ -9,6 +9,7 @@ from .language_id import op6_language_id
 from .packing import op7_best_fit_packing
 from .piece_codec import op4_piece_codec
 from .ppm_scoring import op10_ppm_scoring
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .quality_rules import OP9_SQL, op9_quality_rules
 from .sharding import OP11_SQL, op11_sharding
 from .simhash_dedup import op2_simhash_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_ppm_scoring": op10_ppm_scoring,
     "op11_sharding": op11_sharding,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE = {
@@ -36,5 +38,6 @@ ORACLE = {
     "op8_substring_dedup": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
     "op11_sharding": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }
