@@ -491,6 +491,79 @@ select customer_id as "Customer_ID", cast(recency as int) as "Recency",
     when p >= 0.25 then 'Low Risk' else 'Healthy' end as "Churn_Risk_Segment"
 from (select *, cast(customer_id as bigint) * 37 % 1000 / 1000.0::double as p from x)""", features("[20]"))
 
+# -- trained models --------------------------------------------------------------------------------
+_VALUES = ", ".join(f"coalesce(cast({c.lower()} as double), 0)" for c in CHURN_FEATURES)
+_NAMES = ", ".join(f"'{c}'" for c in CHURN_FEATURES)
+_TRAINING = f""",
+t as (select y, [{_VALUES}] as v from x where s < (select max(s) from x)),
+size as (select count(*) as n, greatest(sum(y), 1) as pos, greatest(count(*) - sum(y), 1) as neg from t)"""
+_EDGES = ", ".join(f"{i}/64.0::double" for i in range(1, 64))
+_UNIT = "1048576.0::double"
+# Gradients at the root are those of probability one half, in whole units of 2^-20.
+ORACLE["churn_root_split"] = with_sales("""
+select m.model as "Model", f.feature as "Feature", round(b.e, 6) as "Threshold", round(b.gain, 6) as "Gain",
+  round(-(b.gl / b.u) / (b.hl / b.u + m.l2), 6) as "Left_Weight", round(-(b.gr / b.u) / (b.hr / b.u + m.l2), 6) as "Right_Weight"
+from m cross join (select distinct feature from flat) f left join (
+  select *, row_number() over (partition by model, feature order by gain desc, e) as k from gains) b
+  on b.model = m.model and b.feature = f.feature and b.k = 1 and b.gain > 1e-6""", features(TRAIN_SNAPSHOTS) + _TRAINING + f""",
+m(model, l2, least) as (values ('GBT_Balanced', 3.0::double, 8), ('GBT_Regularized', 6.0::double, 12)),
+flat as (select y, unnest(v) as v, unnest([{_NAMES}]) as feature from t),
+edge as (select feature, unnest(list_distinct(quantile_cont(v, [{_EDGES}]))) as e from flat group by feature),
+sides as (
+  select feature, e, sum(y) as p, count(*) - sum(y) as q from edge join flat using (feature) where v <= e group by 1, 2),
+unit as (
+  select {_UNIT} as u, round_even(-0.5 * neg / pos * {_UNIT}, 0) as gp, 0.5 * {_UNIT} as gn,
+    round_even(0.25 * neg / pos * {_UNIT}, 0) as hp, 0.25 * {_UNIT} as hn, pos, neg from size),
+sums as (
+  select feature, e, u, p * gp + q * gn as gl, p * hp + q * hn as hl, (pos - p) * gp + (neg - q) * gn as gr,
+    (pos - p) * hp + (neg - q) * hn as hr from sides cross join unit),
+gains as (
+  select model, feature, e, u, gl, hl, gr, hr, (gl / u) * (gl / u) / (hl / u + l2) + (gr / u) * (gr / u) / (hr / u + l2)
+    - ((gl + gr) / u) * ((gl + gr) / u) / ((hl + hr) / u + l2) as gain
+  from sums cross join m where hl >= least * u and hr >= least * u)""")
+_WIDE = len(CHURN_FEATURES) + 1
+_MOMENTS = lambda f: ", ".join(f"{f}(v[{i}])" for i in range(1, _WIDE))
+_GRADIENT = ", ".join(f"sum(err * z[{i}])" for i in range(1, _WIDE + 1))
+# Steps with the inverse of the largest possible curvature, a quarter of the Gram matrix; the start and speed differ from
+# Newton's, the solution does not.
+ORACLE["churn_logistic_solution"] = with_sales(f"""
+select model as "Model", unnest(['intercept', {_NAMES}]) as "Feature", unnest(list_transform(beta, lambda b: round(b, 5))) as "Coefficient",
+  unnest(list_transform(gradient, lambda g: round(abs(g), 5))) as "Gradient"
+from walk where step = 400""", features(TRAIN_SNAPSHOTS) + _TRAINING + f""",
+moments as (select [{_MOMENTS('avg')}] as mean, [{_MOMENTS('stddev_pop')}] as sd from t),
+z as (
+  select y, list_prepend(1.0::double, list_transform(range(1, {_WIDE}), lambda i: (v[i] - mean[i]) / if(sd[i] = 0, 1, sd[i]))) as z
+  from t cross join moments),
+cross_sums as (
+  select y, i, j, sum(z[i] * z[j]) as g from z cross join range(1, {_WIDE + 1}) a(i) cross join range(1, {_WIDE + 1}) b(j)
+  where i <= j group by 1, 2, 3),
+m as (
+  select model, l2, n, if(balanced, n / (2.0 * pos), 1) as w1, if(balanced, n / (2.0 * neg), 1) as w0 from size cross join
+    (values ('Logistic_Balanced', 0.05::double, true), ('Logistic_StrongL2', 0.30::double, true),
+      ('Logistic_Unweighted', 0.05::double, false)) c(model, l2, balanced)),
+entry as (
+  select model, i, j, sum(g * if(y = 1, w1, w0)) / any_value(n) / 4 + if(i = j and i > 1, any_value(l2 / n), 0) as g
+  from cross_sums cross join m group by 1, 2, 3),
+full_rows as (
+  select model, i, list_concat(list(g order by j), list_transform(range(1, {_WIDE + 1}), lambda k: if(k = i, 1.0::double, 0.0::double))) as r
+  from (select model, i, j, g from entry union all select model, j, i, g from entry where i < j) group by model, i),
+pivot_ as (
+  select model, 1 as k, list(r order by i) as a from full_rows group by model
+  union all
+  select model, k + 1, list_transform(a, lambda r, i: if(i = k, list_transform(r, lambda x: x / a[k][k]),
+    list_transform(r, lambda x, j: x - r[k] * a[k][j] / a[k][k]))) from pivot_ where k <= {_WIDE}),
+inverse as (select model, list_transform(a, lambda r: r[{_WIDE + 1}:{2 * _WIDE}]) as inv from pivot_ where k = {_WIDE + 1}),
+walk as (
+  select model, 0 as step, list_transform(range({_WIDE}), lambda i: 0.0::double) as beta,
+    list_transform(range({_WIDE}), lambda i: 1.0::double) as gradient from m
+  union all
+  select model, step + 1, list_transform(beta, lambda b, i: b - list_dot_product(inv[i], gradient)), gradient from (
+    select model, step, beta, inv, list_transform(g, lambda x, i: x / n + if(i = 1, 0, l2 / n * beta[i])) as gradient from (
+      select model, step, any_value(beta) as beta, any_value(inv) as inv, any_value(n) as n, any_value(l2) as l2, [{_GRADIENT}] as g
+      from (select model, step, beta, inv, n, l2, z, if(y = 1, w1, w0) * (1 / (1 + exp(-list_dot_product(z, beta))) - y) as err
+        from walk join m using (model) join inverse using (model) cross join z where step < 400)
+      group by model, step)))""", recursive=True)
+
 # -- labels and metrics ----------------------------------------------------------------------------
 LABELS = SERIES + f""",
 f as (select customer_id, quarter_idx as q from s join qs using (year_quarter)),

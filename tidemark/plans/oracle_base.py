@@ -103,8 +103,8 @@ def with_raw(body: str, extra: str = "") -> str:
     return f"with {RAW.strip()}{extra}\n{body}"
 
 
-def with_sales(body: str, extra: str = "") -> str:
-    return f"with {SALES.strip()}{extra}\n{body}"
+def with_sales(body: str, extra: str = "", recursive: bool = False) -> str:
+    return f"with {'recursive ' if recursive else ''}{SALES.strip()}{extra}\n{body}"
 
 
 def with_customers(body: str, extra: str = "") -> str:

@@ -450,31 +450,53 @@ def _windows(spark, d) -> DataFrame:
     return materialize(churn.training_windows(_churn_fact(spark, d), _people(spark, d)), "churn-windows")
 
 
-def _trained(name: str) -> Query:
-    candidate = next(c for c in classifiers.CANDIDATES if c.name == name)
+def _over_folds(*names: str) -> Query:
+    """Fold rows of candidates over the last four snapshots."""
+    chosen = [c for c in classifiers.CANDIDATES if c.name in names]
+    return lambda spark, d: classifiers.compare_models(_windows(spark, d), chosen)[1]
 
-    def run(spark, d):
-        windows = _windows(spark, d)
-        newest = windows.agg(F.max("Snapshot_Idx")).first()[0]
-        return classifiers.fold_metrics(windows, newest, candidate)[2]
-    return run
+
+def _trained_result(spark, d) -> classifiers.ChurnResult:
+    fact, people = _churn_fact(spark, d), _people(spark, d)
+    return classifiers.train_and_score(churn.training_windows(fact, people), churn.scoring_snapshot(fact, people))
 
 
 def feature_importance(spark, d):
-    windows = _windows(spark, d)
-    model = classifiers.fit(windows, classifiers.CANDIDATES[0])
-    return classifiers.feature_importance(model, windows, classifiers.CANDIDATES[0].name)
+    """Importance of the champion of all five candidates, whichever kind it is."""
+    return _trained_result(spark, d).importance
 
 
 def churn_pipeline(spark, d):
-    """Logistic candidates compared over four folds, champion refitted, newest customers ranked."""
-    fact, people = _churn_fact(spark, d), _people(spark, d)
-    result = classifiers.train_and_score(
-        churn.training_windows(fact, people), churn.scoring_snapshot(fact, people), classifiers.CANDIDATES[:3]
-    )
+    """Five candidates compared over four folds, the champion's newest model, newest customers ranked."""
+    result = _trained_result(spark, d)
     return scoring.score_customers(result.scored, result.threshold)
 
 
+def churn_root_split(spark, d):
+    """Best split of every feature at the root of the boosted candidates, over all rows before the newest snapshot."""
+    windows = _windows(spark, d)
+    newest = windows.agg(F.max("Snapshot_Idx")).first()[0]
+    out = None
+    for c in classifiers.CANDIDATES:
+        if c.kind == "boosted":
+            one = classifiers.root_splits(windows, newest, c).withColumn("Model", F.lit(c.name))
+            out = one if out is None else out.unionByName(one)
+    return rounded(out, 6)
+
+
+def churn_logistic_solution(spark, d):
+    """Coefficients of the logistic candidates before the newest snapshot, and the gradient that is left there."""
+    windows = _windows(spark, d)
+    newest = windows.agg(F.max("Snapshot_Idx")).first()[0]
+    chosen = [c for c in classifiers.CANDIDATES if c.kind == "logistic"]
+    models = classifiers.fit_all(windows, [(newest, c) for c in chosen])
+    rows = [
+        (c.name, f, float(w), abs(float(g))) for c, m in zip(chosen, models)
+        for f, w, g in zip(("intercept", *m.features), (m.intercept, *m.coefficients), m.gradient)
+    ]
+    return rounded(spark.createDataFrame(rows, "Model string, Feature string, Coefficient double, Gradient double"), 5)
+
+
 def ridge(spark, d):
     """Next-quarter style regression of revenue on its lag features over product series."""
     long = series.long_series(series.quarterly_series(
@@ -555,7 +577,7 @@ QUERIES: dict[str, Query] = {
         backtest_summary, selected_model, selected_backtest, forecast_horizon, forecast_all_models, churn_snapshot,
         churn_training_windows, churn_scoring_snapshot, churn_label_rate, validation_folds, binary_metrics,
         confusion_matrix, auc, lift_at_10, best_threshold, model_ranking, standardizer_stats, scored_customers,
-        high_risk_list, head_5000, top_n_at_risk, fixed_segment, feature_importance, churn_pipeline, ridge,
+        high_risk_list, head_5000, top_n_at_risk, fixed_segment, feature_importance, churn_pipeline, churn_root_split, churn_logistic_solution, ridge,
         yoy_drivers, price_quantity_split, yoy_by_country, yoy_by_product, mix_shift, revenue_share, new_vs_returning,
         top_n_concentration, product_by_quarter, loyalty_by_quarter, sales_by_year, product_quarter_pivot,
     )
@@ -568,6 +590,6 @@ QUERIES.update({
     "seasonal_growth_backtest": _backtest("SeasonalGrowth"),
     "seasonal_rw_backtest": _backtest("SeasonalRandomWalk"),
     "seasonal_ar1_backtest": _backtest("SeasonalAR1_CLS"),
-    "churn_logistic": _trained("Logistic_Balanced"),
-    "churn_gbt": _trained("GBT_Regularized"),
+    "churn_logistic": _over_folds("Logistic_Balanced", "Logistic_StrongL2", "Logistic_Unweighted"),
+    "churn_gbt": _over_folds("GBT_Balanced", "GBT_Regularized"),
 })
