@@ -91,7 +91,8 @@ def test_window_bounds():
 
 def test_large_scores_stay_exact():
     rows = np.array([[1 << 30, 1], [1 << 30, 0]])
-    assert list(hn.SortedLists(rows).scores(np.array([0, 1]), np.array([1 << 30, 1]))) == [(1 << 60) + 1, 1 << 60]
+    at, score = hn.SortedLists(rows).walk(np.array([1 << 30, 1]), lambda *_: False)
+    assert list(at) == [0, 1] and list(score) == [(1 << 60) + 1, 1 << 60]
 
 
 def test_sql(spark):

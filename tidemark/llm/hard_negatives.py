@@ -41,17 +41,16 @@ class SortedLists:
     def __init__(self, vectors: np.ndarray, members: np.ndarray | None = None):
         self.members = np.arange(len(vectors)) if members is None else members
         self.rows = vectors[self.members]
-        self.order = np.argsort(self.rows, axis=0, kind="stable")
-
-    def scores(self, at: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        rows = self.rows[at]
-        if len(rows) and float(np.abs(rows).max()) * float(np.abs(anchor).max(initial=0)) * len(anchor) < EXACT:
-            return (rows.astype(np.float64) @ anchor.astype(np.float64)).astype(np.int64)
-        return rows @ anchor
+        #: One list a dimension, smallest component first.
+        self.order = np.ascontiguousarray(np.argsort(self.rows, axis=0, kind="stable").T.astype(np.int32))
+        self.largest = float(np.abs(self.rows).max(initial=0))
+        self.doubles = self.rows.astype(np.float64) if self.largest < EXACT else None
 
     def walk(self, anchor: np.ndarray, enough):
         """Sorted access until ``enough(threshold, rows met, their scores)``; rows and scores of everything met."""
         n, up, down = len(self.rows), np.flatnonzero(anchor < 0), np.flatnonzero(anchor > 0)
+        exact = self.doubles is not None and self.largest * float(np.abs(anchor).max(initial=0)) * len(anchor) < EXACT
+        table, query = (self.doubles, anchor.astype(np.float64)) if exact else (self.rows, anchor)
         seen = np.zeros(n, dtype=bool)
         score = np.zeros(n, dtype=np.int64)
         if len(up) + len(down) == 0:
@@ -59,15 +58,20 @@ class SortedLists:
         start, depth = (0, DEPTH) if not seen.all() else (n, 0)
         while start < n:
             end = min(n, start + depth)
-            met = np.unique(np.concatenate((
-                self.order[start:end, up].ravel(), self.order[n - end : n - start, down].ravel(),
-            )))
-            new = met[~seen[met]]
+            met = np.zeros(n, dtype=bool)
+            met[self.order[up, start:end]] = True
+            met[self.order[down, n - end : n - start]] = True
+            new = np.flatnonzero(met & ~seen)
             seen[new] = True
-            score[new] = self.scores(new, anchor)
-            # Python integers: a made-up row may score more than any real one.
-            threshold = sum(int(anchor[d]) * int(self.rows[self.order[end - 1, d], d]) for d in up)
-            threshold += sum(int(anchor[d]) * int(self.rows[self.order[n - end, d], d]) for d in down)
+            # Where a step meets many rows, one product over the block is cheaper than picking them out.
+            score[new] = table[new] @ query if 4 * len(new) < n else (table @ query)[new]
+            ends = np.append(self.order[up, end - 1], self.order[down, n - end])
+            used = np.append(up, down)
+            if exact:
+                threshold = int(query[used] @ table[ends, used])
+            else:
+                # Python integers: a made-up row may score more than any real one.
+                threshold = sum(int(a) * int(x) for a, x in zip(anchor[used], self.rows[ends, used]))
             at = np.flatnonzero(seen)
             if len(at) == n or enough(threshold, at, score[at]):
                 break
