@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import forecasting, series
+from tidemark.operators import forecasting, seasonal_css, series
 
 # Published quarterly totals: label, revenue, profit.
 QUARTERS = [
@@ -151,3 +151,55 @@ def test_next_row_fallbacks(spark):
     assert (row["Year_Quarter"], row["lag1"], row["lag4"], row["lag5"]) == ("2018-Q2", 14915388.0, mean, mean)
     single = series.next_forecast_row(long(spark, [("2019-Q4", 0, 1)])).where("Target = 'Revenue'").first()
     assert (single["Year_Quarter"], single["roll4_std"], single["yoy_growth"]) == ("2020-Q1", 0.0, 1.0)
+
+
+def brute_css(values, order, seasonal, periods=0):
+    """Least squares over the grid with plain loops: the next value, or a path."""
+    sd = [b - a for a, b in zip(values, values[4:])]
+    w = [b - a for a, b in zip(sd, sd[1:])] if order[1] else sd
+    best = None
+    for point in seasonal_css.grid_points(order, seasonal):
+        a1, a2, s4, m1, m2, n4 = point
+        ahead = lambda x, e: (
+            a1 * x[-1] + a2 * x[-2] + s4 * x[-4] - a1 * s4 * x[-5] + m1 * e[-1] + m2 * e[-2] + n4 * e[-4] + m1 * n4 * e[-5])
+        x, e = [0.0] * 5, [0.0] * 5
+        for v in w:
+            e.append(v - ahead(x, e))
+            x.append(v)
+        sse = 0.0
+        for v in e:
+            sse += v * v
+        if best is None or (sse, point) < best[0]:
+            path, level, y = [], sd[-1], list(values)
+            for _ in range(max(1, periods)):
+                v = ahead(x, e)
+                x.append(v)
+                e.append(0.0)
+                level = level + v if order[1] else v
+                y.append(y[-4] + level)
+                path.append(y[-1])
+            best = (sse, point), path
+    return best[1]
+
+
+@pytest.mark.parametrize("order,seasonal", seasonal_css.ORDERS)
+def test_css_models_equal_plain_loops(spark, order, seasonal):
+    chosen = spark.createDataFrame([("Revenue", seasonal_css.MODEL, str(order), str(seasonal), 0.1)],
+                                   "Target string, Model string, Order string, Seasonal_Order string, Backtest_MAPE double")
+    rows = forecasting.forecast(long(spark), chosen, periods=9).orderBy("Quarter_Idx").collect()
+    values = [float(r) for _, r, _ in QUARTERS]
+    assert [r["Predicted"] for r in rows] == pytest.approx([max(v, 0) for v in brute_css(values, order, seasonal, 9)], rel=1e-9, abs=0.01)
+    runs = forecasting.one_step_predictions(long(spark)).where(
+        (F.col("Target") == "Revenue") & (F.col("Order") == str(order)) & (F.col("Seasonal_Order") == str(seasonal)) & (F.col("Model") == seasonal_css.MODEL))
+    got = {r["Quarter_Idx"]: r["Forecast"] for r in runs.collect()}
+    first = 6 + order[1]
+    assert set(got) == set(range(1, 11)) and all(got[q] is None for q in range(1, first))
+    for q in range(first, 11):
+        assert got[q] == pytest.approx(max(brute_css(values[: q - 1], order, seasonal)[0], 0), rel=1e-9, abs=0.01)
+
+
+def test_css_grid_stays_inside_its_bounds():
+    for order, seasonal in seasonal_css.ORDERS:
+        points = seasonal_css.grid_points(order, seasonal)
+        assert (0.0,) * 6 in points and len(set(points)) == len(points) <= 1000
+        assert all(abs(c) < 1 for p in points for c in p)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ape, ratio, round_half_even, symmetric_ape
 from ..functions.quarters import shift_label
+from . import seasonal_css
 
 # name, order, seasonal order
 MODELS = (
@@ -22,6 +23,8 @@ MODELS = (
     ("SeasonalAR1_CLS", "(1, 0, 0)", "(0, 1, 0, 4)"),
     ("SeasonalAR1_CLS", "(1, 1, 0)", "(0, 1, 0, 4)"),
 )
+#: Every candidate: the closed forms above and the moving-average models.
+CANDIDATES = (*MODELS, *[(seasonal_css.MODEL, str(o), str(s)) for o, s in seasonal_css.ORDERS])
 MODEL_KEY = ("Model", "Order", "Seasonal_Order")
 ERROR_COLUMNS = ("Error", "MAE", "RMSE", "MAPE", "sMAPE", "Bias")
 
@@ -80,7 +83,26 @@ def one_step_predictions(series: DataFrame, keys: Sequence[str] = ("Target",)) -
         )
         for (m, o, s), p in zip(MODELS, predictions)
     ])
-    return df.select(*keys, "Year_Quarter", "Quarter_Idx", "Quarter_Num", "Value", F.inline(rows))
+    known = ["Year_Quarter", "Quarter_Idx", "Quarter_Num", "Value"]
+    closed = df.select(*keys, *known, F.inline(rows))
+    # Quarters without a difference before them keep a row without a forecast.
+    named = F.array(*[
+        F.struct(F.lit(seasonal_css.MODEL).alias("Model"), F.lit(str(o)).alias("Order"), F.lit(str(s)).alias("Seasonal_Order"))
+        for o, s in seasonal_css.ORDERS
+    ])
+    wanted = df.withColumn("__walk", walk).select(*keys, *known, "__lag4", "__walk", F.inline(named))
+    found = seasonal_css.one_step(df, keys).withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    for c in ("Quarter_Idx", *MODEL_KEY):
+        same = same & (wanted[c] == found[c])
+    base = F.when(F.col("__d") == 0, F.col("__lag4")).otherwise(F.col("__walk"))
+    value = base + F.col("__next")
+    folded = wanted.join(found, same, "left").select(
+        *keys, *known[:1], wanted["Quarter_Idx"], *known[2:], *[wanted[c] for c in MODEL_KEY],
+        F.when(value.isNotNull(), F.greatest(value, F.lit(0.0))).alias("Forecast"))
+    return closed.unionByName(folded)
 
 
 def error_columns(actual: str, predicted: str) -> dict[str, Column]:
@@ -185,11 +207,14 @@ def forecast(
 ) -> DataFrame:
     """Forecast of the selected model per series with a band of plus/minus its backtest MAPE."""
     keys = list(keys)
-    rows = horizon(series_state(series, keys), periods)
+    state = series_state(series, keys)
+    fitted = seasonal_css.fits(with_differences(series, keys), keys).join(state, keys).withColumn("__path", seasonal_css.path(periods))
+    paths = fitted.select(*keys, *MODEL_KEY, "__path")
+    rows = horizon(state, periods)
     seasonal = series.groupBy(*keys, "Quarter_Num").agg(F.avg("Value").alias("__seasonal"))
     rows = rows.join(seasonal, [*keys, "Quarter_Num"], "left").join(
         selected.select(*keys, *MODEL_KEY, "Backtest_MAPE"), keys
-    )
+    ).join(paths, [*keys, *MODEL_KEY], "left")
     step = F.col("__step")
     years = F.ceil(step / 4).cast("int")
     base = F.element_at("__year", (years * 4 - step + 1).cast("int"))
@@ -211,6 +236,7 @@ def forecast(
     for (model, order, _), expr in zip(MODELS, by_model):
         match = (F.col("Model") == model) & (F.col("Order") == order)
         value = F.when(match, expr) if value is None else value.when(match, expr)
+    value = value.when(F.col("Model") == seasonal_css.MODEL, F.element_at("__path", step))
     value = F.greatest(value, F.lit(0.0))
     band = F.col("Backtest_MAPE")
     label = F.when(F.col("Order") == "", F.col("Model")).otherwise(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators import seasonal_css
 from ..operators.quality import NO_SOURCE_ID, STALE_SOURCE
 from .oracle_base import CUSTOMERS, exact_sum, half_even, half_up, half_up_double, rank, with_customers, with_raw, with_sales
 
@@ -247,6 +248,35 @@ m as (
     (select count(*) from s anti join known_dates d on s.date_key is not distinct from d.date_key) as orphan_date,
     (select count(*) from s anti join known_places g on s.geo_key is not distinct from g.geo_key) as orphan_geography
   from (select *, row_number() over () as fact_id from s) s)""")
+_DEFECTS = """,
+named as (select *, cast(customer_id as bigint) as num from s),
+bad as (
+  select num, num * 10000 + year as fact_id, if(num % 97 = 0, null, customer_id) as customer_id,
+    if(num % 89 = 1, null, product_id) as product_id, if(num % 83 = 2, null, date_key) as date_key, geo_key, year, quantity_sold,
+    unit_sale_price, if(num % 71 = 6, -revenue, revenue) as revenue, if(num % 67 = 7, -1.5, abs(profit)) as profit,
+    if(num % 73 = 5, 'Q9', quarter) as quarter, is_full_year or num % 61 = 8 as is_full_year from named),
+people as (select distinct customer_id, num from named),
+dim_c as (select customer_id from people where num % 7 <> 3 union all select customer_id from people where num % 11 = 4),
+marked as (
+  select *, customer_id is null or num % 7 = 3 and num % 11 <> 4 as lost_c, product_id is null or product_id % 5 = 0 as lost_p,
+    date_key is null or right(date_key, 2) = '02' as lost_d, length(geo_key) % 4 = 0 as lost_g, quarter = 'Q9' as bad_q from bad)"""
+ORACLE["dq_violation_masks"] = with_sales("""
+select cast(4 * cast(customer_id is null as int) + 8 * cast(product_id is null as int) + 16 * cast(date_key is null as int)
+  + 32 * cast(lost_c as int) + 64 * cast(lost_p as int) + 128 * cast(lost_d as int) + 256 * cast(lost_g as int)
+  + 512 * cast(revenue < 0 as int) + 1024 * cast(profit < 0 as int) + 2048 * cast(bad_q as int) as bigint) as violations,
+  count(*) as row_count from marked group by 1""", _DEFECTS)
+_DEFECT_CHECKS = [sql.replace(">= 2001", ">= 2002") for sql in _DQ]
+ORACLE["dq_report_defects"] = with_sales("\nunion all ".join(_DEFECT_CHECKS), _DEFECTS + f""",
+m as (
+  select count(*) as n, count(*) - (select count(*) from (select distinct {_GRAIN} from marked)) as dup,
+    count(*) - count(distinct fact_id) as dup_id, count(*) filter (customer_id is null) as null_Customer_ID,
+    count(*) filter (product_id is null) as null_Product_ID, count(*) filter (date_key is null) as null_Date_Key,
+    count(*) filter (revenue < 0) as neg_r, count(*) filter (profit < 0) as neg_p,
+    count(distinct quarter) filter (bad_q) as bad_q, count(*) filter (year = 2001) as n2001,
+    count(*) filter (year = 2001 and not is_full_year) as flagged, max(year) as max_year,
+    (select count(*) - count(distinct customer_id) from dim_c) as dup_c, count(*) filter (lost_c) as orphan_customer,
+    count(*) filter (lost_p) as orphan_product, count(*) filter (lost_d) as orphan_date, count(*) filter (lost_g) as orphan_geography
+  from marked)""")
 _MODEL_ROWS = [
     ("INFO", "FACT_ROWS", "(select count(*) from s)"), ("INFO", "CUSTOMER_ROWS", "(select count(*) from dim_customer)"),
     ("INFO", "UNIQUE_FACT_CUSTOMERS", "(select count(distinct customer_id) from s)"),
@@ -332,6 +362,54 @@ select target as "Target", max(v) filter (rn = 1) as last_value, round(avg(v), 4
 from (select *, row_number() over (partition by target order by quarter_idx desc) as rn from ls) where rn <= 4 group by 1""")
 
 # -- forecasting: every fold is a join of its validation quarter with the quarters before it ---------
+def _css_models() -> str:
+    """Candidates as rows: orders, differences, which coefficients are free, and the step of their grid in hundredths."""
+    rows = []
+    for order, seasonal in seasonal_css.ORDERS:
+        free = [order[0] >= 1, order[0] >= 2, seasonal[0] >= 1, order[2] >= 1, order[2] >= 2, seasonal[2] >= 1]
+        steps = ", ".join(str(seasonal_css.STEPS[sum(free)] * f) for f in free)
+        rows.append(f"('{order}', '{seasonal}', {order[1]}, {steps})")
+    return ", ".join(rows)
+
+
+_CO = seasonal_css.COEFFICIENTS
+_LAGS = seasonal_css.LAGS
+
+
+def _css_next(w: tuple[str, ...], e: tuple[str, ...]) -> str:
+    """Next difference from the values 1, 2, 4 and 5 quarters back and their errors."""
+    return (f"(a1 * {w[0]} + a2 * {w[1]} + as4 * {w[2]} - a1 * as4 * {w[3]} + m1 * {e[0]} + m2 * {e[1]} + ms4 * {e[2]}"
+            f" + m1 * ms4 * {e[3]})")
+
+
+_NOW = _css_next(("w1", "w2", "w4", "w5"), ("e1", "e2", "e4", "e5"))
+_AFTER = _css_next(("w", "w1", "w3", "w4"), ("err", "e1", "e3", "e4"))
+_GRID = ", ".join(f"{c}.v as {c}" for c in _CO)
+_GRID_JOINS = " ".join(f"join css_values {c} on {c}.step = m.s_{c}" for c in _CO)
+_MOVED = "w as w1, w1 as w2, w2 as w3, w3 as w4, w4 as w5, err as e1, e1 as e2, e2 as e3, e3 as e4, e4 as e5"
+CSS = f""",
+css_m(ord, sord, d, {", ".join(f"s_{c}" for c in _CO)}) as (values {_css_models()}),
+css_values as (
+  select 0 as step, 0.0::double as v
+  union all select step, unnest(range(step - 100, 100, step)) / 100.0::double from (values (5), (10), (20)) t(step)),
+css_grid as (
+  select ord, sord, d, {_GRID} from css_m m {_GRID_JOINS} where a2.v + abs(a1.v) < 1 and abs(m1.v) - m2.v < 1),
+css_w as (
+  select *, row_number() over (partition by target, d order by qi) as t from (
+    select target, quarter_idx as qi, 0 as d, sd as w from d3 where sd is not null
+    union all select target, quarter_idx, 1, cd from d3 where cd is not null)),
+css as (
+  with recursive c as (
+    select target, ord, sord, g.d, {", ".join(_CO)}, 0 as t, 0 as qi, 0.0::double as sse, 0.0::double as nxt,
+      {", ".join(f"0.0::double as {c}" for c in _LAGS)}
+    from (select distinct target, d from css_w) join css_grid g using (d)
+    union all
+    select target, ord, sord, d, {", ".join(_CO)}, t, qi, sse + err * err, {_AFTER}, {_MOVED} from (
+      select c.* exclude (t, qi), x.t, x.qi, x.w, x.w - {_NOW} as err
+      from c join css_w x on x.target = c.target and x.d = c.d and x.t = c.t + 1))
+  select * from c where t > 0),
+css_best as (
+  select * from css qualify row_number() over (partition by target, ord, sord, qi order by sse, {", ".join(_CO)}) = 1)"""
 PREDICTIONS = f""",
 d as (select *, v / nullif(l4, 0) as g, v - l4 as sd from lg),
 d2 as (select *, lag(sd) over (partition by target order by quarter_idx) as sd1 from d),
@@ -346,13 +424,15 @@ train as (
     max(t.v) filter (t.quarter_idx = o.quarter_idx - 5) as y5, max(t.sd) filter (t.quarter_idx = o.quarter_idx - 1) as sd,
     max(t.cd) filter (t.quarter_idx = o.quarter_idx - 1) as cd
   from d3 o join d3 t on o.target = t.target and t.quarter_idx < o.quarter_idx
-  where o.quarter_idx > 12 group by 1, 2),
+  where o.quarter_idx > 12 group by 1, 2){CSS},
 pred as (
   select target, fold, 'SeasonalNaive' as model, '' as ord, '' as sord, coalesce(same_q, all_q) as p from train
   union all select target, fold, 'SeasonalGrowth', '', '', y4 * g from train
   union all select target, fold, 'SeasonalRandomWalk', '(0, 1, 0)', '(0, 1, 0, 4)', y1 + y4 - y5 from train
   union all select target, fold, 'SeasonalAR1_CLS', '(1, 0, 0)', '(0, 1, 0, 4)', y4 + phi_sd * sd from train
-  union all select target, fold, 'SeasonalAR1_CLS', '(1, 1, 0)', '(0, 1, 0, 4)', y1 + y4 - y5 + phi_cd * cd from train),
+  union all select target, fold, 'SeasonalAR1_CLS', '(1, 1, 0)', '(0, 1, 0, 4)', y1 + y4 - y5 + phi_cd * cd from train
+  union all select target, fold, 'SeasonalCSS', ord, sord, if(d = 0, y4, y1 + y4 - y5) + nxt
+    from train join (select *, qi + 1 as fold from css_best) using (target, fold)),
 err as (select target, model, ord, sord, year_quarter, v, greatest(p, 0) as p
   from pred join ls using (target) where fold = quarter_idx),
 bt as (
@@ -374,7 +454,8 @@ sel as (
   select * from (select *, row_number() over (partition by "Target" order by "Backtest_MAPE" nulls last, "Backtest_MAE" nulls last,
     "AIC" nulls last, "Model", "Order", "Seasonal_Order") as rn from summ) where rn = 1)"""
 for key, model in (("seasonal_naive_backtest", "SeasonalNaive"), ("seasonal_growth_backtest", "SeasonalGrowth"),
-                   ("seasonal_rw_backtest", "SeasonalRandomWalk"), ("seasonal_ar1_backtest", "SeasonalAR1_CLS")):
+                   ("seasonal_rw_backtest", "SeasonalRandomWalk"), ("seasonal_ar1_backtest", "SeasonalAR1_CLS"),
+                   ("seasonal_css_backtest", "SeasonalCSS")):
     ORACLE[key] = with_series(f"""select * from bt where "Model" = '{model}'""", PREDICTIONS)
 ORACLE["backtest_summary"] = with_series("""
 select "Target", "Model", "Order", "Seasonal_Order", round("Backtest_MAE", 4) as "Backtest_MAE",
@@ -385,38 +466,40 @@ ORACLE["selected_model"] = with_series('select "Target", "Model", "Order", "Seas
 ORACLE["selected_backtest"] = with_series(
     'select bt.* from bt join sel using ("Target", "Model", "Order", "Seasonal_Order")'.replace("bt.*", 'bt.*'), PREDICTIONS)
 # Step-by-step recursion, one row per step, for all models at once.
-RECURSION = PREDICTIONS + """,
+RECURSION = PREDICTIONS + f""",
 last as (
   select target, max(quarter_idx) as n, coalesce(quantile_cont(g, 0.5), 1.0) as g,
     coalesce(sum(sd * sd1) / nullif(sum(sd1 * sd1) filter (sd is not null), 0), 0) as phi_sd,
     coalesce(sum(cd * cd1) / nullif(sum(cd1 * cd1) filter (cd is not null), 0), 0) as phi_cd,
-    arg_max(cd, quarter_idx) as cd, max(cast(year_quarter[1:4] as int) * 4 + quarter_num - 1) as lab
+    arg_max(cd, quarter_idx) as cd, arg_max(sd, quarter_idx) as sdv, max(cast(year_quarter[1:4] as int) * 4 + quarter_num - 1) as lab
   from d3 group by 1),
 naive as (select target, quarter_num, avg(v) as m from ls group by 1, 2),
 recursive_base as (
-  select l.target, m.model, m.ord, m.sord, n, g, phi_sd, phi_cd, cd, lab,
+  select l.target, m.model, m.ord, m.sord, n, g, phi_sd, phi_cd, cd, lab, sdv, b.d, {", ".join(f"b.{c}" for c in (*_CO, *_LAGS))},
     (select list(v order by quarter_idx) from ls where ls.target = l.target) as ys
-  from last l cross join (select distinct model, ord, sord from pred) m),
+  from last l cross join (select distinct model, ord, sord from pred) m
+    left join css_best b on m.model = 'SeasonalCSS' and b.target = l.target and b.ord = m.ord and b.sord = m.sord and b.qi = l.n),
 rec as (
   with recursive r as (
     select *, 0 as step from recursive_base
     union all
-    select target, model, ord, sord, n, g, phi_sd, phi_cd, cd * phi_cd as cd, lab,
-      list_append(ys, case
+    select target, model, ord, sord, n, g, phi_sd, phi_cd, cd * phi_cd as cd, lab, if(d = 0, w, sdv + w) as sdv, d,
+      {", ".join(_CO)}, {_MOVED}, list_append(ys, case
+        when model = 'SeasonalCSS' then ys[len(ys) - 3] + if(d = 0, w, sdv + w)
         when model = 'SeasonalNaive' then (select m from naive where naive.target = r.target and naive.quarter_num = (lab + step + 1) % 4 + 1)
         when model = 'SeasonalGrowth' then greatest(ys[len(ys) - 3] * g, 0)
         when model = 'SeasonalRandomWalk' then ys[len(ys)] + ys[len(ys) - 3] - ys[len(ys) - 4]
         when ord = '(1, 0, 0)' then ys[len(ys) - 3] + phi_sd * (ys[len(ys)] - ys[len(ys) - 4])
         else ys[len(ys)] + ys[len(ys) - 3] - ys[len(ys) - 4] + phi_cd * cd end) as ys, step + 1
-    from r where step < 7)
+    from (select *, {_NOW} as w, 0.0::double as err from r where step < 7) r)
   select *, greatest(ys[len(ys)], 0) as y from r where step > 0),
 fc as (
   select rec.target, rec.model, rec.ord, ((lab + step) // 4) || '-Q' || ((lab + step) % 4 + 1) as quarter, cast(n + step as int) as quarter_idx,
     cast((lab + step) % 4 + 1 as int) as quarter_num, y, b."Backtest_MAPE" as band,
     case when rec.ord = '' then rec.model else rec.model || rec.ord || 'x' || rec.sord end as label,
     s2."Model" is not null as chosen
-  from rec join summ b on b."Target" = rec.target and b."Model" = rec.model and b."Order" = rec.ord
-    left join sel s2 on s2."Target" = rec.target and s2."Model" = rec.model and s2."Order" = rec.ord)"""
+  from rec join summ b on b."Target" = rec.target and b."Model" = rec.model and b."Order" = rec.ord and b."Seasonal_Order" = rec.sord
+    left join sel s2 on s2."Target" = rec.target and s2."Model" = rec.model and s2."Order" = rec.ord and s2."Seasonal_Order" = rec.sord)"""
 FC = {"Predicted": half_even("y"), "CI_Lower": half_even("greatest(y * (1 - band), 0)"), "CI_Upper": half_even("y * (1 + band)"),
       "Band_Pct": half_even("band", 4)}
 ORACLE["forecast_all_models"] = with_series(f"""

@@ -12,6 +12,7 @@ from ..functions.numeric import col
 from ..functions.quarters import first_digit
 from ..operators import (
     aggregates, churn, classifiers, forecasting, insights, metrics, quality, sales, scoring, series, star,
+    violations,
 )
 from ..operators.scale import lookup_join
 from ..session import materialize, tuned
@@ -218,6 +219,44 @@ def dq_report(spark, d):
     )
 
 
+def _defective_tables(spark, d) -> dict[str, DataFrame]:
+    """The star schema with defects of every kind, chosen by remainders of the customer number."""
+    df = materialize(rows(spark, d, *dict.fromkeys((*PLACE, "Loyalty#", *TIME, *MEASURES, "Product Line"))), "gate")
+    n = F.col("Customer_ID").cast("bigint")
+    at = lambda k, r: n % k == r
+    fact = star.fact_rows(df, star.product_ids(df)).withColumns({
+        "Fact_ID": n * 10_000 + F.col("Year"),
+        "Quarter": F.when(at(73, 5), "Q9").otherwise(F.col("Quarter")),
+        "Revenue": F.when(at(71, 6), -F.col("Revenue")).otherwise(F.col("Revenue")),
+        "Profit": F.when(at(67, 7), F.lit(-1.5)).otherwise(F.abs("Profit")),
+        "Is_Full_Year": F.col("Is_Full_Year") | at(61, 8),
+        "Product_ID": F.when(~at(89, 1), F.col("Product_ID")), "Date_Key": F.when(~at(83, 2), F.col("Date_Key")),
+        "Customer_ID": F.when(~at(97, 0), F.col("Customer_ID")),
+    })
+    customers = df.select(F.col("Loyalty#").alias("Customer_ID")).distinct()
+    number = F.col("Customer_ID").cast("bigint")
+    dates = star.build_dim_date(df)
+    return {
+        "FACT_Sales": materialize(fact, "defects"),
+        "DIM_Customer": customers.where(number % 7 != 3).unionByName(customers.where(number % 11 == 4)),
+        "DIM_Product": star.product_ids(df).where("Product_ID % 5 <> 0"),
+        "DIM_Date": dates.where(~F.col("Date_Key").cast("string").endswith("02")),
+        "DIM_Geography": df.select("Geo_Key").distinct().where(F.length("Geo_Key") % 4 != 0),
+    }
+
+
+def dq_report_defects(spark, d):
+    """The gate over tables in which every kind of defect occurs."""
+    tables = _defective_tables(spark, d)
+    return violations.report(materialize(violations.ledger(tables), "ledger"), tables, partial_year=2001, recent_year=2002)
+
+
+def dq_violation_masks(spark, d):
+    """Rows of the defective tables per combination of failed checks (repeats aside: which copy is first is not in the data)."""
+    repeats = violations.BITS["fact_sales_unique_fact_id"] | violations.WARNINGS
+    return violations.mask_counts(violations.ledger(_defective_tables(spark, d)), repeats)
+
+
 def model_input_report(spark, d):
     columns = ("Loyalty#", *TIME, *MEASURES, "Product Line", "Coupon Response")
     fact = star.project(rows(spark, d, *columns), {
@@ -233,7 +272,8 @@ def _quarterly(spark, d) -> DataFrame:
 
 
 def _long(spark, d) -> DataFrame:
-    return series.long_series(_quarterly(spark, d))
+    # Written once: a few rows, which folds, fits and forecasts read many times.
+    return materialize(series.long_series(_quarterly(spark, d)), "quarterly-series")
 
 
 def quarter_index(spark, d):
@@ -305,12 +345,7 @@ def forecast_horizon(spark, d):
 def forecast_all_models(spark, d):
     """Seven quarters of every model, as if each had been selected."""
     long = _long(spark, d)
-    summary = forecasting.backtest_summary(forecasting.backtest(long))
-    named = long.withColumn("Model_Key", F.explode(F.array(*[
-        F.lit(f"{m}|{o}") for m, o, _ in forecasting.MODELS])))
-    chosen = summary.withColumn("Model_Key", F.concat("Model", F.lit("|"), "Order"))
-    keys = ["Target", "Model_Key"]
-    return forecasting.forecast(named, chosen, keys=keys).drop("Model_Key")
+    return forecasting.forecast(long, forecasting.backtest_summary(forecasting.backtest(long)))
 
 
 # -- churn -------------------------------------------------------------------------------------
@@ -572,7 +607,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         clean_sales, enrich_sales, sales_metrics, income_bucket, tenure_bucket, clv_segment, coupon_rank, geo_keys,
         accepted_quarter_except, dim_date, dim_product, dim_geography, dim_customer, fact_sales, partition_columns,
-        dq_report, model_input_report, quarter_index, quarterly_series, product_quarterly_series, forecast_features,
+        dq_report, dq_report_defects, dq_violation_masks, model_input_report, quarter_index, quarterly_series, product_quarterly_series, forecast_features,
         next_forecast_row, series_transforms, unit_root_stat, seasonal_profile, last_and_trailing_mean,
         backtest_summary, selected_model, selected_backtest, forecast_horizon, forecast_all_models, churn_snapshot,
         churn_training_windows, churn_scoring_snapshot, churn_label_rate, validation_folds, binary_metrics,
@@ -590,6 +625,7 @@ QUERIES.update({
     "seasonal_growth_backtest": _backtest("SeasonalGrowth"),
     "seasonal_rw_backtest": _backtest("SeasonalRandomWalk"),
     "seasonal_ar1_backtest": _backtest("SeasonalAR1_CLS"),
+    "seasonal_css_backtest": _backtest("SeasonalCSS"),
     "churn_logistic": _over_folds("Logistic_Balanced", "Logistic_StrongL2", "Logistic_Unweighted"),
     "churn_gbt": _over_folds("GBT_Balanced", "GBT_Regularized"),
 })
