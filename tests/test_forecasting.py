@@ -145,6 +145,31 @@ def test_unit_root_needs_eight_varying_values(spark):
     assert got[("Profit", "level")]["DF_Statistic"] == pytest.approx(beta[1] / se)
 
 
+def test_lagged_unit_root_equals_least_squares(spark):
+    rng = np.random.default_rng(4)
+    y = np.cumsum(rng.normal(size=24)) + 50
+    rows = [(f"20{10 + i // 4}-Q{i % 4 + 1}", float(v), 5.0) for i, v in enumerate(y)]
+    got = {(r["Target"], r["Transform"], r["Lag"]): r for r in series.lagged_unit_root(long(spark, rows)).collect()}
+    dy = np.diff(y)
+    aic = []
+    for lag in range(3):
+        def fit(start):
+            design = np.column_stack([np.ones(len(dy) - start), y[start:-1], *[dy[start - i : len(dy) - i] for i in range(1, lag + 1)]])
+            beta, res = np.linalg.lstsq(design, dy[start:], rcond=None)[:2]
+            return design, beta, res[0]
+        design, beta, res = fit(lag)
+        se = np.sqrt(res / (len(design) - lag - 2) * np.linalg.inv(design.T @ design)[1, 1])
+        row = got[("Revenue", "level", lag)]
+        assert (row["DF_Statistic"], row["N_Used"]) == (pytest.approx(beta[1] / se, rel=1e-6), len(design))
+        n = len(dy) - 2
+        aic.append(n * np.log(fit(2)[2] / n) + 2 * (lag + 2))
+        assert row["AIC"] == pytest.approx(aic[-1], rel=1e-6)
+    assert [got[("Revenue", "level", k)]["Selected"] for k in range(3)] == [k == int(np.argmin(aic)) for k in range(3)]
+    assert all(got[("Profit", "level", k)]["DF_Statistic"] is None and got[("Profit", "level", k)]["AIC"] is None for k in range(3))
+    short = series.lagged_unit_root(long(spark, rows[:6])).where("Transform = 'level'").collect()
+    assert len(short) == 6 and all(r["DF_Statistic"] is None for r in short)
+
+
 def test_next_row_fallbacks(spark):
     row = series.next_forecast_row(long(spark, QUARTERS[:2])).where("Target = 'Revenue'").first()
     mean = (16257873 + 14915388) / 2

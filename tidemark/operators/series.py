@@ -159,6 +159,73 @@ def stationarity_diagnostics(
     )
 
 
+def _swept(sums: dict[tuple[str, str], Column], names: Sequence[str]) -> dict[tuple[str, str], Column]:
+    """Cross products of ``x`` and ``y`` with the other regressors taken out, one after the other."""
+    left = dict(sums)
+    at = lambda a, b: left[(a, b)] if (a, b) in left else left[(b, a)]
+    for n, pivot in enumerate(names):
+        rest = [*names[n + 1 :], "x", "y"]
+        left = {
+            (a, b): at(a, b) - F.try_divide(at(a, pivot) * at(b, pivot), at(pivot, pivot))
+            for i, a in enumerate(rest) for b in rest[i:]
+        }
+    return left
+
+
+def lagged_unit_root(
+    series: DataFrame, keys: Sequence[str] = ("Target",), max_lag: int = 2, critical_value: float = -2.86
+) -> DataFrame:
+    """Dickey-Fuller statistics with 0 to ``max_lag`` lagged differences, one row per transform and lag.
+
+    The regressions are normal equations in grouped sums: centred cross products, from which constant and lagged
+    differences are swept out. ``AIC`` is computed on the rows that every lag can use and picks the lag (``Selected``, the
+    smaller of equals); the statistic uses all rows its lag can use. Null below eight observations, for a constant
+    series, and where a regressor is constant or a fit leaves no degree of freedom.
+    """
+    groups = [*keys, "Transform"]
+    order = _by(groups)
+    rows = series_transforms(series, keys).where(F.col("Transformed").isNotNull())
+    rows = rows.withColumn("x", F.lag("Transformed").over(order)).withColumn("y", F.col("Transformed") - F.col("x"))
+    rows = rows.withColumns({f"d{i}": F.lag("y", i).over(order) for i in range(1, max_lag + 1)})
+    sums: dict[str, Column] = {"N_Obs": F.count("Transformed"), "__flat": F.min("Transformed") == F.max("Transformed")}
+    for lag in range(max_lag + 1):
+        usable = F.col(f"d{lag}" if lag else "x").isNotNull()
+        sums[f"n{lag}"] = F.count_if(usable)
+        names = [*[f"d{i}" for i in range(1, lag + 1)], "x", "y"]
+        for i, a in enumerate(names):
+            for b in names[i:]:
+                product = F.covar_pop(F.when(usable, F.col(a)), F.when(usable, F.col(b))) * F.count_if(usable)
+                sums[f"s{lag}_{a}_{b}"] = product
+    fit = rows.groupBy(*groups).agg(*[e.alias(n) for n, e in sums.items()])
+
+    def residual(sample: int, lag: int) -> tuple[Column, Column, Column]:
+        """Cross products of x with itself and y, and the sum of squared residuals, of a lag on the rows of a sample."""
+        names = [f"d{i}" for i in range(1, lag + 1)]
+        every = [*names, "x", "y"]
+        left = _swept({(a, b): F.col(f"s{sample}_{a}_{b}") for i, a in enumerate(every) for b in every[i:]}, names)
+        xx, xy = left[("x", "x")], left[("x", "y")]
+        return xx, xy, F.greatest(left[("y", "y")] - F.try_divide(xy * xy, xx), F.lit(0.0))
+
+    parts = []
+    for lag in range(max_lag + 1):
+        xx, xy, sse = residual(lag, lag)
+        n, common = F.col(f"n{lag}"), F.col(f"n{max_lag}")
+        freedom = n - lag - 2
+        error = F.sqrt(ratio(F.when(freedom > 0, F.try_divide(sse, freedom.cast("double"))), xx))
+        usable = (F.col("N_Obs") >= 8) & ~F.col("__flat")
+        shared = residual(max_lag, lag)[2]
+        aic = F.when(shared > 0, common * F.log(shared / common) + 2 * (lag + 2))
+        parts.append(F.struct(
+            F.lit(lag).alias("Lag"), F.when(usable, ratio(F.try_divide(xy, xx), error)).alias("DF_Statistic"),
+            F.when(usable, aic).alias("AIC"), n.alias("N_Used")))
+    each = fit.select(*groups, "N_Obs", F.inline(F.array(*parts)))
+    best = Window.partitionBy(*groups).orderBy(F.col("AIC").asc_nulls_last(), "Lag")
+    return each.withColumns({
+        "Selected": F.row_number().over(best) == 1,
+        "Stationary": F.coalesce(F.col("DF_Statistic") < critical_value, F.lit(False)),
+    })
+
+
 def seasonal_profile(series: DataFrame, keys: Sequence[str] = ("Target",)) -> DataFrame:
     """Mean per quarter number and its ratio to the overall mean."""
     sums = series.groupBy(*keys, "Quarter_Num").agg(F.sum("Value").alias("__sum"), F.count("Value").alias("__n"))

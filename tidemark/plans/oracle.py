@@ -353,6 +353,44 @@ from (
       (regr_syy(x - p, p) - regr_slope(x - p, p) * regr_sxy(x - p, p)) / (regr_count(x - p, p) - 2) / regr_sxx(x - p, p)) end as stat
   from (select *, lag(x) over (partition by target, transform order by quarter_idx) as p from tr where x is not null)
   group by 1, 2)""", TRANSFORMS)
+def _solved(lag: int, sample: int) -> str:
+    """Slope of x, its standard error and the squared residuals by Cramer's rule on centred cross products."""
+    names = [f"d{i}" for i in range(1, lag + 1)]
+    used = f"d{sample} is not null" if sample else "x is not null"
+    cov = lambda a, b: f"covar_pop({a}, {b}) filter ({used})"
+
+    def det(m: list[list[str]]) -> str:
+        if len(m) == 1:
+            return m[0][0]
+        minors = [f"{'-' if j % 2 else '+'} ({v}) * ({det([r[:j] + r[j + 1:] for r in m[1:]])})" for j, v in enumerate(m[0])]
+        return " ".join(minors)
+
+    xs = ["x", *names]
+    gram = [[cov(a, b) for b in xs] for a in xs]
+    whole = [[*r, cov(a, "y")] for r, a in zip(gram, xs)] + [[*[cov("y", b) for b in xs], cov("y", "y")]]
+    top = [[cov("y", b) for b in xs], *gram[1:]]
+    rest = det([r[1:] for r in gram[1:]]) if names else "1"
+    return (f"select target, transform, {lag} as lag, count(v) as n_obs, min(v) = max(v) as flat, count(*) filter ({used}) as n,"
+            f" ({det(top)}) / nullif({det(gram)}, 0) as slope, ({rest}) / nullif({det(gram)}, 0) as inv,"
+            f" ({det(whole)}) / nullif({det(gram)}, 0) as sse from lagged group by 1, 2")
+
+
+# Lag regressions: covariances in place of sums, so residuals and inverses carry a factor n.
+ORACLE["unit_root_lags"] = with_series("""
+select target as "Target", transform as "Transform", n_obs as "N_Obs", cast(lag as int) as "Lag", round(stat, 5) as "DF_Statistic",
+  round(aic, 5) as "AIC", n as "N_Used",
+  row_number() over (partition by target, transform order by aic nulls last, lag) = 1 as "Selected",
+  coalesce(stat < -2.86, false) as "Stationary"
+from (
+  select o.*, case when o.n_obs >= 8 and not o.flat then o.slope / sqrt(o.sse / (o.n - o.lag - 2) * o.inv) end as stat,
+    case when o.n_obs >= 8 and not o.flat then c.n * ln(c.sse) + 2 * (o.lag + 2) end as aic
+  from own o join common c using (target, transform, lag))""", TRANSFORMS + f""",
+first_lag as (select target, transform, quarter_idx, x as v, lag(x) over w as x, x - lag(x) over w as y from tr where x is not null
+  window w as (partition by target, transform order by quarter_idx)),
+lagged as (select *, lag(y, 1) over w as d1, lag(y, 2) over w as d2 from first_lag
+  window w as (partition by target, transform order by quarter_idx)),
+own as ({" union all ".join(_solved(k, k) for k in range(3))}),
+common as ({" union all ".join(_solved(k, 2) for k in range(3))})""")
 ORACLE["seasonal_profile"] = with_series("""
 select target as "Target", quarter_num as "Quarter_Num", round(avg(v), 4) as "Quarter_Average",
   round(avg(v) / any_value(m), 8) as "Seasonal_Index"

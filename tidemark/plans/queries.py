@@ -305,6 +305,10 @@ def unit_root_stat(spark, d):
     return rounded(series.stationarity_diagnostics(_long(spark, d)), 6)
 
 
+def unit_root_lags(spark, d):
+    return rounded(series.lagged_unit_root(_long(spark, d)), 5)
+
+
 def seasonal_profile(spark, d):
     return rounded(series.seasonal_profile(_long(spark, d)), 4, Seasonal_Index=8)
 
@@ -608,7 +612,7 @@ QUERIES: dict[str, Query] = {
         clean_sales, enrich_sales, sales_metrics, income_bucket, tenure_bucket, clv_segment, coupon_rank, geo_keys,
         accepted_quarter_except, dim_date, dim_product, dim_geography, dim_customer, fact_sales, partition_columns,
         dq_report, dq_report_defects, dq_violation_masks, model_input_report, quarter_index, quarterly_series, product_quarterly_series, forecast_features,
-        next_forecast_row, series_transforms, unit_root_stat, seasonal_profile, last_and_trailing_mean,
+        next_forecast_row, series_transforms, unit_root_stat, unit_root_lags, seasonal_profile, last_and_trailing_mean,
         backtest_summary, selected_model, selected_backtest, forecast_horizon, forecast_all_models, churn_snapshot,
         churn_training_windows, churn_scoring_snapshot, churn_label_rate, validation_folds, binary_metrics,
         confusion_matrix, auc, lift_at_10, best_threshold, model_ranking, standardizer_stats, scored_customers,
