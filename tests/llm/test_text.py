@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -202,6 +203,40 @@ def test_languages_on_held_out_rows(spark):
     assert language_id.predict(odd, nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def brute_language(model, text):
+    """Family and language by plain counting of byte grams and pairwise votes."""
+    if not any(unicodedata.category(c).startswith("L") for c in text or ""):
+        return "und"
+    raw = text.encode("utf-8", "replace")
+    plain = b" " + bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in raw) + b" "
+    shift, half = 32 - language_id.RANGE_BITS, 1 << language_id.RANGE_BITS
+    places = []
+    for i in range(len(plain) - 2):
+        two, three = plain[i] << 8 | plain[i + 1], (plain[i] << 8 | plain[i + 1]) << 8 | plain[i + 2]
+        places += [(two * 2654435761 & 0xFFFFFFFF) >> shift, ((three * 2246822519 & 0xFFFFFFFF) >> shift) + half]
+    margins = [sum(model.weights[p, k] for p in places) * language_id.SCALE / max(len(places), 1) + model.bias[k]
+               for k in range(len(model.machines))]
+
+    def vote(names, kind):
+        own = {(a, b): margins[i] for i, (k, a, b) in enumerate(model.machines) if k == kind}
+        wins = lambda n: sum((m > 0) if a == n else (-m > 0) for (a, b), m in own.items() if n in (a, b))
+        total = lambda n: sum(m if a == n else -m for (a, b), m in own.items() if n in (a, b))
+        return max(sorted(names), key=lambda n: (wins(n), total(n)))
+
+    family = vote(list(model.families), "")
+    return vote(model.families[family], family)
+
+
+def test_languages_equal_brute_force_votes(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(language_id.learning_rows(df), sample_rows=40)
+    odd = [(1, "½ ² Ⅷ ② 1234 _ ٣"), (2, "ª"), (3, "ªº½"), (4, "日本"), (5, None), (6, ""), (7, "!?"), (8, "ß"), (9, "a" * 30_000)]
+    rows = [tuple(r) for r in df.limit(40).select("doc_id", "text").collect()] + [(1000 + i, t) for i, t in odd]
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    assert got == {i: brute_language(model, t) for i, t in rows}
+    assert [got[1000 + i] for i in (1, 5, 6, 7)] == ["und"] * 4 and got[1002] != "und"
+
+
 def test_repeated_texts_enter_the_language_sample_once(spark):
     df = languages(spark, 20)
     hot = df.where("lang IS NOT NULL").limit(1).crossJoin(spark.range(300)).select(*df.columns)

@@ -7,12 +7,12 @@ table entries over the text. The machines are fitted by Spark on a bounded sampl
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
@@ -36,7 +36,11 @@ FAMILIES = {
 #: Expected labelled rows per language in the fitting sample, and the most languages.
 SAMPLE_ROWS = 600
 MOST_LANGUAGES = 64
-LETTER = re.compile(r"[^\W\d_]")
+#: What counts as a letter, for fitting (in Spark) and for predicting alike: Unicode letters, no digits or numerals.
+LETTER_CLASS = r"\p{L}"
+LETTER = regex.compile(LETTER_CLASS)
+#: Hash values among which a share is sampled.
+HASHES = 1 << 52
 _PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)).lower()
 CHUNK = 1 << 20
 
@@ -106,10 +110,10 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_row
     """Fit all machines on at most about ``sample_rows`` labelled texts of each language, chosen by a hash of the text.
 
     A text that is repeated under one label counts and enters once.
-    Rows with a null label or a text without a letter are left out. Without a labelled row the model knows no language.
+    Rows with a null label or a text without a letter are left out; more than ``MOST_LANGUAGES`` labels raise. Without a labelled row the model knows no language.
     """
     families = FAMILIES if families is None else families
-    usable = labelled.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+    usable = labelled.where(F.col(label).isNotNull() & F.col(text).rlike(LETTER_CLASS)).select(
         text, label, F.xxhash64(text).alias("__hash")
     )
     # One row a language. Distinct texts are counted, because only they are sampled.
@@ -127,7 +131,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_row
     for name, n in counts.items():
         share = F.when(F.col(label) == name, F.lit(min(1.0, sample_rows / n))).otherwise(share)
     # Copies of a text share its hash; one of them is enough, so that a hot text cannot outgrow the sample.
-    chosen = usable.where(F.pmod("__hash", F.lit(1_000_000)) < share * 1_000_000).dropDuplicates([label, "__hash"])
+    chosen = usable.where(F.pmod("__hash", F.lit(HASHES)) < share * float(HASHES)).dropDuplicates([label, "__hash"])
     vector = F.udf(features, VectorUDT())
     rows = materialize(chosen.select(F.col(label).alias("lang"), vector(text).alias("features")), "languages").coalesce(4).cache()
     weights, bias = np.zeros((WIDTH, len(machines))), np.zeros(len(machines))
