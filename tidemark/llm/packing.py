@@ -31,9 +31,14 @@ END = 1
 SPACE = "\t-\r \x85\xa0  -     　"
 UNITS = re.compile(rf"[a-zà-öø-ÿ]+(?=[.,!?;:|#*$%&<>])|[^{SPACE}]+")
 PLAIN = re.compile(r"[a-zà-öø-ÿ]+")
-#: Entries beyond which a worker keeps only the units of its current block, and characters of a block.
-TABLE_LIMIT = 300_000
-BLOCK_CHARS = 2_000_000
+#: Separators of str.split() that the tokenizer does not drop.
+NOT_SPACE = "\x1c\x1d\x1e\x1f"
+WORDS = re.compile(rf"[^{SPACE}]+")
+#: Entries beyond which a worker forgets words that only one block has had, the words of a text encoded at once, and the
+#: characters of a block.
+TABLE_LIMIT = 700_000
+TOGETHER = 100
+BLOCK_CHARS = 3_000_000
 #: Buckets in which pieces of one length are numbered.
 BUCKETS = 1024
 RANK_BITS = 44
@@ -108,33 +113,54 @@ def places(bins) -> pd.DataFrame:
 
 # -- tokens ------------------------------------------------------------------------------------
 
+def _is_plain(word: str) -> bool:
+    """Whether a lower-cased word is a run of letters; most are ASCII, which is quick to see."""
+    return word.isascii() and word.isalpha() or PLAIN.fullmatch(word) is not None
+
+
 class WordTable:
-    """Ids of distinct units as little-endian 32-bit integers."""
+    """Ids of distinct words as little-endian 32-bit integers; words of several units are put together from those."""
 
     def __init__(self, model: str):
         self.library = Tokenizer.from_file(model)
         self.ids: dict[str, bytes] = {}
+        self.again: set[str] = set()
         size = self.library.get_vocab_size()
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
-    def learn(self, units: set[str]) -> None:
-        if len(self.ids) + len(units) > TABLE_LIMIT:
-            self.ids = {u: self.ids[u] for u in units if u in self.ids}
-        new = [u for u in units if u not in self.ids]
+    def learn(self, words: set[str]) -> None:
+        """Make all of ``words`` known. Words of more than one block outlive those that passed by once."""
+        if len(self.ids) + len(words) > TABLE_LIMIT:
+            kept = self.again | words
+            self.ids = {w: i for w, i in self.ids.items() if w in kept}
+            self.again = set()
+            if len(self.ids) + len(words) > TABLE_LIMIT:
+                self.ids = {w: i for w, i in self.ids.items() if w in words}
+        known = words & self.ids.keys()
+        self.again |= known
+        new = words - known
+        parts = {w: UNITS.findall(w) for w in new if not _is_plain(w)}
+        plain = new - parts.keys()
+        units = {u for p in parts.values() for u in p} - plain - self.ids.keys()
+        more = {u for u in units if _is_plain(u)}
+        self._encode([*plain, *more], list(units - more))
+        for word, found in parts.items():
+            if len(found) > 1:
+                self.ids[word] = b"".join(map(self.ids.__getitem__, found))
+
+    def _encode(self, plain: list[str], other: list[str]) -> None:
         # A run of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
-        plain = [u for u in new if PLAIN.fullmatch(u)]
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
             found = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[found]) + 1
             if len(cuts) != len(part):
-                new.extend(part)
+                other.extend(part)
                 continue
             data, start = found.tobytes(), 0
             for unit, stop in zip(part, (4 * cuts).tolist()):
                 self.ids[unit] = data[start:stop]
                 start = stop
-        other = [u for u in new if u not in self.ids]
         for at in range(0, len(other), 20_000):
             part = other[at : at + 20_000]
             for unit, found in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
@@ -147,9 +173,10 @@ _TABLES: dict[str, WordTable] = {}
 def _ids_of(model: str, texts: list[str]) -> list[bytes]:
     """Ids of whole texts; the tokenizer lower-cases, so A-Z can be lower-cased before its table is asked."""
     known = _TABLES.get(model) or _TABLES.setdefault(model, WordTable(model))
-    units = [UNITS.findall(t.encode("utf-8", "replace").lower().decode()) for t in texts]
-    known.learn(set().union(*units))
-    return [b"".join(map(known.ids.__getitem__, u)) for u in units]
+    lowered = [t.lower() if t.isascii() else t.encode("utf-8", "replace").lower().decode() for t in texts]
+    words = [WORDS.findall(t) if any(c in t for c in NOT_SPACE) else t.split() for t in lowered]
+    known.learn(set().union(*words))
+    return [b"".join(map(known.ids.__getitem__, w)) for w in words]
 
 
 def _cutter(model: str, capacity: int):
