@@ -127,9 +127,19 @@ def test_without_passages_matches_brute_force(spark, planted):
     assert sorted((r.doc_id, r.text or "") for r in got.collect()) == sorted((i, t or "") for i, t in brute_passages(rows))
 
 
+def test_known_language_without_labels_keeps_texts_with_letters(spark, planted):
+    rows = planted[:5] + [(1, "½ ② 12"), (2, ""), (3, None), (4, "é")]
+    unlabelled = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.known_language(spark, unlabelled, "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted([4, *[i for i, _ in planted[:5]]])
+    labelled = corpus_pipeline.known_language(spark, table_of(spark, rows), "")
+    assert labelled.columns == unlabelled.columns
+    assert sorted(r.doc_id for r in labelled.collect()) == sorted([4, *[i for i, _ in planted[:5]]])
+
+
 def test_stages_on_empty_tables(spark, planted):
     empty = table_of(spark, planted).limit(0)
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
 
 
