@@ -15,8 +15,13 @@ from tidemark.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a recognised language: no text, or no letter in it."""
+    """Reject documents without a recognised language: no text, or no letter in it.
+
+    If no row that may be learned from has a label, no language is known, and texts with a letter stay.
+    """
     model = language_id.fit(language_id.learning_rows(docs))
+    if not model.families:
+        return docs.where(F.col("text").rlike(language_id.LETTER_CLASS))
     found = language_id.predict(docs, model)
     return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
