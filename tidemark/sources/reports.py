@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.boosting import BoostedModel, Tree
 from ..operators.logistic import LogisticModel
+from ..operators.scoring import PROBABILITY
 
 BYTE_ORDER_MARK = "﻿"
 
@@ -39,7 +41,10 @@ def save_bundle(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -
 
 
 def save_model(model: PipelineModel | BoostedModel | LogisticModel, path: str) -> str:
-    """A folder per model: Spark's own layout, or the rows of the library's models as Parquet next to their settings."""
+    """A folder per model: Spark's own layout, or the rows of the library's models as Parquet next to their settings.
+
+    A logistic model is also a Spark pipeline of one SQL stage, so ``PipelineModel.load`` scores with it without this library.
+    """
     if isinstance(model, PipelineModel):
         model.write().overwrite().save(path)
         return path
@@ -49,6 +54,7 @@ def save_model(model: PipelineModel | BoostedModel | LogisticModel, path: str) -
         edges = [[float(x) for x in e[np.isfinite(e)]] for e in model.edges]
         settings = [("boosted", list(model.features), edges, float(model.eta), None)]
     else:
+        PipelineModel([SQLTransformer(statement=_logistic_sql(model))]).write().overwrite().save(path)
         kind, schema = "logistic", "feature string, coefficient double, mean double, deviation double"
         settings = [("logistic", list(model.features), None, None, [float(g) for g in model.gradient])]
     head = "kind string, features array<string>, edges array<array<double>>, eta double, gradient array<double>"
@@ -57,6 +63,16 @@ def save_model(model: PipelineModel | BoostedModel | LogisticModel, path: str) -
     return path
 
 
+def _logistic_sql(model: LogisticModel) -> str:
+    number = lambda x: f"({float(x)!r}D)"
+    terms = [
+        f"(coalesce(nanvl(cast(`{c}` as double), 0D), 0D) - {number(m)}) * {number(w / s)}"
+        for c, w, m, s in zip(model.features, model.coefficients, model.means, model.deviations)
+    ]
+    margin = " + ".join([number(model.intercept), *terms])
+    return f"SELECT *, 1 / (1 + exp(-greatest(-35D, least(35D, {margin})))) AS {PROBABILITY} FROM __THIS__"
+
+
 def load_model(spark: SparkSession, path: str) -> PipelineModel | BoostedModel | LogisticModel:
     """What ``save_model`` wrote; a model has few rows, whatever it was fitted on."""
     files = spark._jvm.org.apache.hadoop.fs.Path(path)
