@@ -292,6 +292,22 @@ ORACLE["model_input_report"] = with_customers("\nunion all ".join(
     f"select '{level}' as \"Level\", '{check}' as \"Check\", cast({value} as bigint) as \"Value\""
     for level, check, value in _MODEL_ROWS))
 
+_DEFECT_ROWS = {
+    "CUSTOMER_ROWS": "(select count(*) from known)", "UNIQUE_DIM_CUSTOMERS": "(select count(distinct num) from known)",
+    "FACT_NULL_CELLS": "(select count(*) filter (num % 13 = 1) + count(*) filter (num % 17 = 2) from named)",
+    "CUSTOMER_NULL_CELLS": "(select count(*) filter (num % 19 = 4) + count(*) filter (num % 23 = 5) from known)",
+    "DUPLICATE_CUSTOMER_IDS": "(select count(*) - count(distinct num) from known)",
+    "NEGATIVE_REVENUE_ROWS": "(select count(*) from named where num % 71 = 6)",
+    "NEGATIVE_PROFIT_ROWS": "(select count(*) from named where num % 67 = 7)",
+    "ORPHAN_CUSTOMER_ROWS": "(select count(*) from named where num not in (select num from known))",
+}
+ORACLE["model_input_defects"] = with_customers("\nunion all ".join(
+    f"select '{level}' as \"Level\", '{check}' as \"Check\", cast({_DEFECT_ROWS.get(check, value)} as bigint) as \"Value\""
+    for level, check, value in _MODEL_ROWS), """,
+named as (select *, cast(customer_id as bigint) as num from s),
+people as (select customer_id, cast(customer_id as bigint) as num from dim_customer),
+known as (select num from people where num % 7 <> 3 union all select num from people where num % 11 = 4)""")
+
 # -- series --------------------------------------------------------------------------------------
 SERIES = """,
 qs as (

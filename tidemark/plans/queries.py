@@ -265,6 +265,23 @@ def model_input_report(spark, d):
     return quality.model_input_report(fact, dim_customer(spark, d))
 
 
+def model_input_defects(spark, d):
+    """The model-input report over tables with nulls, negative amounts, orphans and repeated customers, by remainders."""
+    columns = ("Loyalty#", *TIME, *MEASURES, "Product Line", "Coupon Response")
+    n = F.col("Customer_ID").cast("bigint")
+    fact = star.project(rows(spark, d, *columns), {
+        s: t for s, t in star.FACT_COLUMNS.items() if s in columns or s in ("Profit", "Year_Quarter", "Quarter_Num")
+    }).withColumn("Coupon_Num", first_digit("Coupon_Response")).withColumns({
+        "Product_Line": F.when(n % 13 != 1, F.col("Product_Line")), "Coupon_Num": F.when(n % 17 != 2, F.col("Coupon_Num")),
+        "Revenue": F.when(n % 71 == 6, -F.col("Revenue")).otherwise(F.col("Revenue")),
+        "Profit": F.when(n % 67 == 7, F.lit(-1.5)).otherwise(F.abs("Profit")),
+    })
+    people = _people(spark, d)
+    known = people.where(n % 7 != 3).unionByName(people.where(n % 11 == 4))
+    return quality.model_input_report(fact, known.withColumns({
+        "Income": F.when(n % 19 != 4, F.col("Income")), "Gender": F.when(n % 23 != 5, F.col("Gender"))}))
+
+
 # -- series and forecasting --------------------------------------------------------------------
 
 def _quarterly(spark, d) -> DataFrame:
@@ -611,7 +628,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         clean_sales, enrich_sales, sales_metrics, income_bucket, tenure_bucket, clv_segment, coupon_rank, geo_keys,
         accepted_quarter_except, dim_date, dim_product, dim_geography, dim_customer, fact_sales, partition_columns,
-        dq_report, dq_report_defects, dq_violation_masks, model_input_report, quarter_index, quarterly_series, product_quarterly_series, forecast_features,
+        dq_report, dq_report_defects, dq_violation_masks, model_input_report, model_input_defects, quarter_index, quarterly_series, product_quarterly_series, forecast_features,
         next_forecast_row, series_transforms, unit_root_stat, unit_root_lags, seasonal_profile, last_and_trailing_mean,
         backtest_summary, selected_model, selected_backtest, forecast_horizon, forecast_all_models, churn_snapshot,
         churn_training_windows, churn_scoring_snapshot, churn_label_rate, validation_folds, binary_metrics,
