@@ -17,9 +17,9 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = "8m"
 
 
-def small_batches(df: DataFrame) -> DataFrame:
+def small_batches(df: DataFrame, size: str = BATCH_BYTES) -> DataFrame:
     """Bound the batches that Python gets from now on, whatever the length of the texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return df
 
 

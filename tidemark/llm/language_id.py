@@ -12,7 +12,6 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
@@ -36,13 +35,14 @@ FAMILIES = {
 #: Expected labelled rows per language in the fitting sample, and the most languages.
 SAMPLE_ROWS = 600
 MOST_LANGUAGES = 64
-#: What counts as a letter, for fitting (in Spark) and for predicting alike: Unicode letters, no digits or numerals.
+#: What counts as a letter in Spark: Unicode letters, no digits or numerals; ``str.isalpha`` knows the same.
 LETTER_CLASS = r"\p{L}"
-LETTER = regex.compile(LETTER_CLASS)
 #: Hash values among which a share is sampled.
 HASHES = 1 << 52
 _PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)).lower()
-CHUNK = 1 << 20
+#: Bytes of a text whose grams are counted at once, and bytes of the batches that Python gets.
+CHUNK = 1 << 17
+BATCH = "2m"
 
 
 def _grams(text: bytes) -> Iterator[np.ndarray]:
@@ -96,7 +96,7 @@ class Model:
         return best, wins[best][2]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.families or not LETTER.search(text):
+        if not text or not self.families or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         found = self.margins(text.encode("utf-8", "replace"))
         level = lambda kind: {(a, b): found[i] for i, (k, a, b) in enumerate(self.machines) if k == kind}
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A null text and a text without a letter are ``und`` with score 0. Columns of these names are replaced.
     """
-    small_batches(docs)
+    small_batches(docs, BATCH)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
