@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,9 @@ NOT_SPACE = "\x1c\x1d\x1e\x1f"
 WORDS = re.compile(rf"[^{SPACE}]+")
 #: Entries beyond which a worker forgets words that only one block has had, the words of a text encoded at once, and the
 #: characters of a block.
-TABLE_LIMIT = 700_000
+TABLE_LIMIT = 400_000
+#: Entries that a worker keeps between tasks; it may idle beside other stages.
+IDLE_LIMIT = 100_000
 TOGETHER = 100
 BLOCK_CHARS = 3_000_000
 #: Buckets in which pieces of one length are numbered.
@@ -148,6 +151,11 @@ class WordTable:
             if len(found) > 1:
                 self.ids[word] = b"".join(map(self.ids.__getitem__, found))
 
+    def rest(self) -> None:
+        """Keep some of the words of several blocks, so that an idle worker holds little."""
+        self.again = set(islice(self.again & self.ids.keys(), IDLE_LIMIT))
+        self.ids = {w: self.ids[w] for w in self.again}
+
     def _encode(self, plain: list[str], other: list[str]) -> None:
         # A run of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
         for at in range(0, len(plain), TOGETHER):
@@ -193,6 +201,8 @@ def _cutter(model: str, capacity: int):
                         part = ids[at : at + 4 * capacity]
                         out.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                 yield pd.DataFrame(out, columns=["key", "piece", "start", "length", "ids_crc32"]).astype({"key": "Int64"})
+        if model in _TABLES:
+            _TABLES[model].rest()
 
     return cut
 
