@@ -126,3 +126,10 @@ def test_aggregates_skip_null_keys_and_break_ties(spark):
     assert kpi["Top Product Line (Revenue)"] == "A"
     assert kpi["Total Revenue ($)"] == "300"
     assert aggregates.agg_loyalty(enriched).first()["Avg_Income"] is None
+
+
+def test_strip_leaves_texts_between_visible_characters_alone(spark):
+    texts = ["a", " a", "a\u00a0", "", " ", "!", "~", "\x7f", "\u00e9t\u00e9", "\u3000x y\t", "a b", "\x1ca", "a\u2003", None, "\u00e9 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip("t").alias("s"))
+    assert [(r["t"], r["s"]) for r in df.collect()] == [(t, None if t is None else t.strip()) for t in texts]
+    assert "CASE WHEN" in df._jdf.queryExecution().analyzed().toString()
