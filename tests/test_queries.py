@@ -73,3 +73,15 @@ def test_marts_round_once(spark, duck):
     for q in (1, 2, 3, 4):
         values = ", ".join(f"({a!r}::double)" for a in amounts[q])
         assert duck.sql(f"select {half_up(exact_sum('v'))} from (values {values}) t(v)").fetchall() == [(got[q],)]
+
+
+def test_ridge_sums_the_fact_once(spark, monkeypatch):
+    from tidemark import session
+    from tidemark.plans import queries
+    rows = [(f"{y}-Q{q}", y, q, p, float(y % 7 * q + i * 3), 1.0 * q * y % 5) for y in range(2001, 2007) for q in range(1, 5)
+            for i, p in enumerate("xyz")]
+    fact = spark.createDataFrame(rows, "Year_Quarter string, Year int, Quarter_Num int, Product_Line string, Revenue double, Profit double")
+    monkeypatch.setattr(queries, "_fact", lambda *_: fact)
+    before = session.mark(spark)
+    assert queries.ridge(spark, "").count() == 13
+    assert session.mark(spark) == before + 1
