@@ -65,3 +65,14 @@ def test_missing_columns_are_named(spark):
     given["DIM_Date"] = given["DIM_Date"].drop("Year")
     with pytest.raises(ValueError, match="DIM_Date lacks Year"):
         violations.ledger(given)
+
+
+def test_repeats_follow_a_stored_number(spark):
+    rows = [(*changed(Fact_ID=1, Revenue=5.0), 2), (*changed(Fact_ID=1, Revenue=6.0), 1), (*changed(Fact_ID=2, Revenue=6.0), 0)]
+    found = tables(spark, ROWS)
+    found["FACT_Sales"] = spark.createDataFrame(rows, FACT + ", at bigint")
+    entries = violations.ledger(found, "at")
+    assert "at" not in entries.columns
+    marks = {(r["Fact_ID"], r["Revenue"]): r["violations"] for r in entries.collect()}
+    assert marks[1, 5.0] == violations.BITS["fact_sales_unique_fact_id"]
+    assert marks[1, 6.0] == violations.WARNINGS and marks[2, 6.0] == 0

@@ -119,9 +119,9 @@ def build_fact(
     return sequential_ids(rows, "Fact_ID", id_order)
 
 
-def fact_columns(enriched: DataFrame) -> DataFrame:
-    """The fact columns whose inputs are present, under their curated names."""
-    return project(enriched, {s: t for s, t in FACT_COLUMNS.items() if s in enriched.columns})
+def fact_columns(enriched: DataFrame, *more: str) -> DataFrame:
+    """The fact columns whose inputs are present, under their curated names, and ``more`` columns under their own."""
+    return project(enriched, {**{s: t for s, t in FACT_COLUMNS.items() if s in enriched.columns}, **{c: c for c in more}})
 
 
 def fact_rows(enriched: DataFrame, products: DataFrame | None = None) -> DataFrame:

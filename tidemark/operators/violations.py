@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from .quality import NATURAL_GRAIN, NO_SOURCE_ID, REQUIRED, STALE_SOURCE, Check, duplicate_rows, missing_columns
-from .scale import attach_row, null_safe_join
+from .scale import attach_row, null_safe_join, small_table
 
 #: Checks of single rows in bit order, with the expectation each reports.
 RULES = (
@@ -29,52 +29,70 @@ RULES = (
     ("fact_sales_accepted_quarter_values", "Q1, Q2, Q3, Q4 only"),
 )
 BITS = {name: 1 << k for k, (name, _) in enumerate(RULES)}
+#: What ``report`` reads of a ledger.
+REPORTED = ("violations", "Quarter", "Year", "Is_Full_Year")
 WARNINGS = BITS["fact_sales_possible_duplicate_transactions"]
 PARENTS = (("customer", "Customer_ID", "DIM_Customer"), ("product", "Product_ID", "DIM_Product"),
            ("date", "Date_Key", "DIM_Date"), ("geography", "Geo_Key", "DIM_Geography"))
 
 
-def _with_repeats(fact: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """Flag rows whose key an earlier row (by ``__row``) has. Only repeated keys are joined back."""
-    first = fact.groupBy(*keys).agg(F.min("__row").alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+def _with_repeats(fact: DataFrame, plain: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """Flag rows whose key an earlier row (by ``__row``) has. Only repeated keys are joined back, found in the ``plain`` rows,
+    before anything else was joined to them."""
+    first = plain.groupBy(*keys).agg(F.min("__row").alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
     flagged = null_safe_join(fact, first, keys, "left")
     return flagged.withColumn(out, F.coalesce(F.col("__row") > F.col("__first"), F.lit(False))).drop("__first")
 
 
-def _with_orphans(fact: DataFrame, parent: DataFrame, key: str, out: str) -> DataFrame:
-    """Flag rows whose key the parent lacks; null only matches null. A key is looked up once, however many rows have it."""
+def _with_orphans(fact: DataFrame, plain: DataFrame, parent: DataFrame, key: str, out: str) -> DataFrame:
+    """Flag rows whose key the parent lacks; null only matches null. A key is looked up once, however many rows have it.
+
+    The lost keys are counted first: where they are few, the rows stay in place.
+    """
     known = parent.select(key).distinct().withColumn("__known", F.lit(True))
-    lost = null_safe_join(fact.select(key).distinct(), known, [key], "left").where("__known IS NULL").select(key)
-    return null_safe_join(fact, lost.withColumn(out, F.lit(True)), [key], "left").withColumn(out, F.coalesce(out, F.lit(False)))
+    lost = null_safe_join(plain.select(key).distinct(), known, [key], "left").where("__known IS NULL").select(key)
+    lost = lost.withColumn(out, F.lit(True))
+    small = small_table(lost)
+    return null_safe_join(fact, lost if small is None else F.broadcast(small), [key], "left").withColumn(out, F.coalesce(out, F.lit(False)))
 
 
-def ledger(tables: dict[str, DataFrame]) -> DataFrame:
+def ledger(tables: dict[str, DataFrame], stored: str | None = None) -> DataFrame:
     """The fact with ``violations``: the bits of ``RULES`` that a row fails (0 for a clean row).
 
     Of rows that share an id or a natural grain one stays clean of that bit, whichever was stored first. The tables need the
-    columns of ``REQUIRED``, ``Fact_ID`` and ``Geo_Key``; a missing one raises and names it.
+    columns of ``REQUIRED``, ``Fact_ID`` and ``Geo_Key``; a missing one raises and names it. ``stored`` names a column of
+    distinct numbers in stored order, for a fact that is not itself a stored table.
+
+    The bits of single rows and lookups come first, then repeats of the grain, then of the id: a reader of the masks alone
+    moves the grain once and then only ids and masks.
     """
     needed = {**REQUIRED, "FACT_Sales": (*REQUIRED["FACT_Sales"], *NATURAL_GRAIN, "Fact_ID"), "DIM_Geography": ("Geo_Key",)}
     for table, columns in needed.items():
         missing = missing_columns(tables[table], columns)
         if missing:
             raise ValueError(f"{table} lacks {', '.join(missing)}")
-    columns = tables["FACT_Sales"].columns
-    fact = tables["FACT_Sales"].withColumn("__row", F.monotonically_increasing_id())
-    fact = _with_repeats(fact, ["Fact_ID"], "__repeated_id")
-    fact = _with_repeats(fact, list(NATURAL_GRAIN), "__repeated_grain")
+    columns = [c for c in tables["FACT_Sales"].columns if c != stored]
+    fact = tables["FACT_Sales"].withColumn("__row", F.monotonically_increasing_id() if stored is None else F.col(stored))
+    plain = fact
     for label, key, table in PARENTS:
-        fact = _with_orphans(fact, tables[table], key, f"__orphan_{label}")
+        fact = _with_orphans(fact, plain, tables[table], key, f"__orphan_{label}")
     failed = (
-        F.col("__repeated_id"), F.col("__repeated_grain"),
         *[F.col(c).isNull() for c in ("Customer_ID", "Product_ID", "Date_Key")],
         *[F.col(f"__orphan_{label}") for label, _, _ in PARENTS],
         F.col("Revenue") < 0, F.col("Profit") < 0, ~F.col("Quarter").isin(*fixed.QUARTERS),
     )
-    mask = F.lit(0).cast("bigint")
-    for (name, _), fails in zip(RULES, failed):
+    names = [name for name, _ in RULES]
+    fact = fact.select(*columns, "__row", _mask(F.lit(0).cast("bigint"), dict(zip(names[2:], failed))).alias("violations"))
+    for name, keys in zip(names[1::-1], (list(NATURAL_GRAIN), ["Fact_ID"])):
+        fact = _with_repeats(fact, plain, keys, "__repeated")
+        fact = fact.select(*columns, "__row", _mask(F.col("violations"), {name: F.col("__repeated")}).alias("violations"))
+    return fact.drop("__row")
+
+
+def _mask(mask: Column, failed: dict[str, Column]) -> Column:
+    for name, fails in failed.items():
         mask = mask.bitwiseOR(F.when(F.coalesce(fails, F.lit(False)), F.lit(BITS[name])).otherwise(F.lit(0)).cast("bigint"))
-    return fact.select(*columns, mask.alias("violations"))
+    return mask
 
 
 def fails(name: str) -> Column:

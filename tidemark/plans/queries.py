@@ -219,12 +219,21 @@ def dq_report(spark, d):
     )
 
 
+#: Number of a stored row.
+STORED = "Stored_Row"
+
+
 def _defective_tables(spark, d) -> dict[str, DataFrame]:
-    """The star schema with defects of every kind, chosen by remainders of the customer number."""
-    df = materialize(rows(spark, d, *dict.fromkeys((*PLACE, "Loyalty#", *TIME, *MEASURES, "Product Line"))), "gate")
+    """The star schema with defects of every kind, chosen by remainders of the customer number.
+
+    The rows are written once, with a number; the defects are expressions over them.
+    """
+    df = rows(spark, d, *dict.fromkeys((*PLACE, "Loyalty#", *TIME, *MEASURES, "Product Line")))
+    df = materialize(df.withColumn(STORED, F.monotonically_increasing_id()), "gate")
     n = F.col("Customer_ID").cast("bigint")
     at = lambda k, r: n % k == r
-    fact = star.fact_rows(df, star.product_ids(df)).withColumns({
+    products = star.product_ids(df)
+    fact = lookup_join(star.fact_columns(df, STORED), products, "Product_Line").withColumns({
         "Fact_ID": n * 10_000 + F.col("Year"),
         "Quarter": F.when(at(73, 5), "Q9").otherwise(F.col("Quarter")),
         "Revenue": F.when(at(71, 6), -F.col("Revenue")).otherwise(F.col("Revenue")),
@@ -237,9 +246,9 @@ def _defective_tables(spark, d) -> dict[str, DataFrame]:
     number = F.col("Customer_ID").cast("bigint")
     dates = star.build_dim_date(df)
     return {
-        "FACT_Sales": materialize(fact, "defects"),
+        "FACT_Sales": fact,
         "DIM_Customer": customers.where(number % 7 != 3).unionByName(customers.where(number % 11 == 4)),
-        "DIM_Product": star.product_ids(df).where("Product_ID % 5 <> 0"),
+        "DIM_Product": products.where("Product_ID % 5 <> 0"),
         "DIM_Date": dates.where(~F.col("Date_Key").cast("string").endswith("02")),
         "DIM_Geography": df.select("Geo_Key").distinct().where(F.length("Geo_Key") % 4 != 0),
     }
@@ -248,13 +257,14 @@ def _defective_tables(spark, d) -> dict[str, DataFrame]:
 def dq_report_defects(spark, d):
     """The gate over tables in which every kind of defect occurs."""
     tables = _defective_tables(spark, d)
-    return violations.report(materialize(violations.ledger(tables), "ledger"), tables, partial_year=2001, recent_year=2002)
+    entries = materialize(violations.ledger(tables, STORED).select(*violations.REPORTED), "ledger")
+    return violations.report(entries, tables, partial_year=2001, recent_year=2002)
 
 
 def dq_violation_masks(spark, d):
     """Rows of the defective tables per combination of failed checks (repeats aside: which copy is first is not in the data)."""
     repeats = violations.BITS["fact_sales_unique_fact_id"] | violations.WARNINGS
-    return violations.mask_counts(violations.ledger(_defective_tables(spark, d)), repeats)
+    return violations.mask_counts(violations.ledger(_defective_tables(spark, d), STORED), repeats)
 
 
 def model_input_report(spark, d):
