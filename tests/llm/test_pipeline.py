@@ -127,6 +127,13 @@ def test_without_passages_matches_brute_force(spark, planted):
     assert sorted((r.doc_id, r.text or "") for r in got.collect()) == sorted((i, t or "") for i, t in brute_passages(rows))
 
 
+def test_without_passages_removes_words_once(spark):
+    """Run for the filter and again for the columns, the function takes two workers a task."""
+    docs = table_of(spark, [(i, f"w{i} " + " ".join(f"v{k}" for k in range(30))) for i in range(4)])
+    plan = corpus_pipeline.without_passages(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EvalPython [_removed(") == 1
+
+
 def test_known_language_without_labels_keeps_texts_with_letters(spark, planted):
     rows = planted[:5] + [(1, "½ ② 12"), (2, ""), (3, None), (4, "é")]
     unlabelled = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)

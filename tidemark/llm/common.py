@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,11 @@ def crc_class(key: Column, classes: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % classes
 
 
+def give_back() -> None:
+    """Return to the system what Arrow keeps of batches that are gone; a worker may idle beside other stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def pack(*arrays) -> bytes:
     return pickle.dumps(arrays, protocol=5)
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import materialize
-from .common import slices, small_batches, table
+from .common import give_back, slices, small_batches, table
 
 MODEL = "word_bpe_49k.json"
 END = 1
@@ -203,6 +203,7 @@ def _cutter(model: str, capacity: int):
                 yield pd.DataFrame(out, columns=["key", "piece", "start", "length", "ids_crc32"]).astype({"key": "Int64"})
         if model in _TABLES:
             _TABLES[model].rest()
+        give_back()
 
     return cut
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import pack, slices, small_batches, table, text_bytes, unpack
+from .common import give_back, pack, slices, small_batches, table, text_bytes, unpack
 
 WINDOW = 13
 GRAM = 4
@@ -157,6 +157,7 @@ def _mapper(buckets: int, window: int, gram: int):
                       texts[start:stop], out)
                 if out:
                     yield pd.DataFrame(out, columns=["bucket", "blob"])
+        give_back()
 
     return run
 
@@ -312,8 +313,9 @@ def remove_repeats(
         .select(F.col("id").alias("__i"), F.col("mark").alias("__m"),
                 F.col("spans.at").alias("__at"), F.col("spans.n").alias("__n"))
     )
-    result = docs_keyed.join(verified, same, "left").withColumn("__r", _removed("__body", "__at", "__n"))
-    return result.select(*docs.columns, "__r.n_words", "__r.n_removed", "__r.kept")
+    # A generator keeps filters on the counts above it; below, they would run the function, and its workers, once more.
+    result = docs_keyed.join(verified, same, "left")
+    return result.select(*docs.columns, F.inline(F.array(_removed("__body", "__at", "__n"))))
 
 
 def op8_substring_dedup(spark, sf_dir):
