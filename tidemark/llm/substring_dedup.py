@@ -99,12 +99,15 @@ def _mapper(buckets: int, window: int, gram: int):
             return
         digest = xxhash.xxh64_intdigest
         words = np.fromiter((digest(w) for doc in found for w in doc), np.uint64, total)
+        seed = int(_mix(words[:1])[0] % np.uint64(1 << 20))
+        del found
         ends = np.cumsum(sizes)
-        doc = np.repeat(np.arange(len(found)), sizes)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
         at = np.arange(total) - (ends - sizes)[doc]
         fits = at + window <= sizes[doc]
         edge = _rolling(words, window)
         low = _mix(_sliding_min(_rolling(words, gram), window - gram + 1))
+        del words
         here = np.flatnonzero(fits)
         if not len(here):
             return
@@ -115,14 +118,16 @@ def _mapper(buckets: int, window: int, gram: int):
         ids = ids[order]
         repeated = ids[doc[by_edge]] > ids[doc[first]]
         edges, firsts = by_edge[repeated], first[repeated]
+        del here, by_edge, new, first, repeated
         sort = np.argsort(edges, kind="stable")
         edges, firsts = edges[sort], firsts[sort]
         paths = _paths(doc[edges], at[edges], doc[firsts], at[firsts])
         if len(paths[0]):
             marks_ = marks[order]
-            out.append((buckets + int(_mix(words[:1])[0] % np.uint64(1 << 20)), pack(
+            out.append((buckets + seed, pack(
                 ids[paths[0]], marks_[paths[0]], paths[1], paths[2], ids[paths[3]], marks_[paths[3]], paths[4])))
         fits[edges] = False
+        del edges, firsts, sort, paths
         here = np.flatnonzero(fits)
         if not len(here):
             return
@@ -130,10 +135,12 @@ def _mapper(buckets: int, window: int, gram: int):
         new[1:] = (here[1:] != here[:-1] + 1) | (low[here[1:]] != low[here[:-1]]) | (at[here[1:]] == 0)
         starts, lengths = _runs(new)
         heads = here[starts]
+        del here, new, fits
         bucket = ((low[heads] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         by_bucket = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
         ordinal = doc.astype(np.uint32)
+        del doc, low, bucket
         for b in range(buckets):
             runs = by_bucket[cuts[b] : cuts[b + 1]]
             if not len(runs):
@@ -186,14 +193,16 @@ def _reducer(buckets: int):
         edge_at = np.repeat(np.concatenate(at).astype(np.int64), n) + inside
         edge_owner = np.repeat(owner, n)
         key = np.concatenate(key)
+        del inside, owner, at, n
         # Blocks that were split differently may hold one document twice: equal rank order, any of them.
         order = np.argsort(key, kind="stable")
         new = np.ones(len(order), bool)
         new[1:] = key[order[1:]] != key[order[:-1]]
         group = np.cumsum(new) - 1
-        twice = np.bincount(group) > 1
-        picked = order[twice[group]]
-        group = group[twice[group]]
+        del key, new
+        twice = (np.bincount(group) > 1)[group]
+        picked, group = order[twice], group[twice]
+        del order, twice
         if not len(picked):
             return pd.DataFrame({k: np.zeros(0, np.int64) for k in names})
         sort = np.lexsort((edge_at[picked], rank[edge_owner[picked]], group))
