@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import re
+import sys
 import unicodedata
 import zlib
 
@@ -96,6 +97,45 @@ def test_word_ids_equal_the_library(monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_of_a_block_are_not_handled_one_by_one(monkeypatch):
+    # A Python call for every new word was a good part of the CPU time.
+    monkeypatch.setattr(packing, "_TABLES", {})
+    model = public_tokenizers.path(packing.MODEL)
+    library = Tokenizer.from_file(model)
+    rng = np.random.default_rng(5)
+    stems = ["".join(rng.choice(list("abcdeé"), 7)) for _ in range(2000)]
+    text = " ".join(s + e for s in stems for e in ("", ".", "###"))
+    packing._ids_of(model, ["start"])
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        ids = packing._ids_of(model, [text])[0]
+    finally:
+        sys.setprofile(None)
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert calls < 1000
+
+
+def test_word_ids_stay_right_when_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "_TABLES", {})
+    monkeypatch.setattr(packing, "TABLE_LIMIT", 60)
+    monkeypatch.setattr(packing, "LONG", 9, raising=False)
+    model = public_tokenizers.path(packing.MODEL)
+    library = Tokenizer.from_file(model)
+    rng = np.random.default_rng(7)
+    letters = list("abcé.#'<|>\xa0 1\u0301")
+    often = ["the", "of.", "a<|endoftext|>", "x\xa0y", "\u3000a.b\u2028\x85c", "déjà##", "\x1c"]
+    for _ in range(30):
+        block = [" ".join(["".join(rng.choice(letters, 6)) for _ in range(8)] + often[: rng.integers(7)]) for _ in range(4)]
+        for text, ids in zip(block, packing._ids_of(model, block)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_fullest_combination_matches_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(60):

@@ -10,14 +10,15 @@ and look up their place in the plan.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -27,24 +28,27 @@ from .common import give_back, slices, small_batches, table
 
 MODEL = "word_bpe_49k.json"
 END = 1
-#: Units between which the tokenizer always cuts: it drops Unicode white space, and a run of letters that are
-#: lower case already ends at ASCII punctuation other than the apostrophe of a contraction.
-SPACE = "\t-\r \x85\xa0  -     　"
-UNITS = re.compile(rf"[a-zà-öø-ÿ]+(?=[.,!?;:|#*$%&<>])|[^{SPACE}]+")
-PLAIN = re.compile(r"[a-zà-öø-ÿ]+")
-#: Separators of str.split() that the tokenizer does not drop.
-NOT_SPACE = "\x1c\x1d\x1e\x1f"
-WORDS = re.compile(rf"[^{SPACE}]+")
-#: Entries beyond which a worker forgets words that only one block has had, the words of a text encoded at once, and the
-#: characters of a block.
+#: Units between which the tokenizer always cuts: it drops white space (``SPACE`` is what is not ASCII of it), and a run of
+#: letters that are lower case already ends at ASCII punctuation other than the apostrophe of a contraction.
+SPACE = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+LETTERS, MARKS = "[a-zà-öø-ÿ]+", "[.,!?;:|#*$%&<>]"
+#: Units, and bytes of them, beyond which a worker forgets those that only one block has had and those of more bytes than
+#: ``LONG``, the runs of letters of a text encoded at once, the other units of a batch, and the bytes of a block.
 TABLE_LIMIT = 400_000
-#: Entries that a worker keeps between tasks; it may idle beside other stages.
+TABLE_BYTES = 32_000_000
+LONG = 100
+#: Units that a worker keeps between tasks; it may idle beside other stages.
 IDLE_LIMIT = 100_000
 TOGETHER = 100
-BLOCK_CHARS = 3_000_000
+BATCH = 4_000
+BLOCK_BYTES = 4_000_000
 #: Buckets in which pieces of one length are numbered.
 BUCKETS = 1024
 RANK_BITS = 44
+#: What is found of a piece.
+CUT = pa.schema([
+    ("key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
+])
 
 
 # -- planning ----------------------------------------------------------------------------------
@@ -116,93 +120,115 @@ def places(bins) -> pd.DataFrame:
 
 # -- tokens ------------------------------------------------------------------------------------
 
-def _is_plain(word: str) -> bool:
-    """Whether a lower-cased word is a run of letters; most are ASCII, which is quick to see."""
-    return word.isascii() and word.isalpha() or PLAIN.fullmatch(word) is not None
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    """How much comes before each of some sizes, and after the last."""
+    return np.concatenate([[0], np.cumsum(sizes)])
 
 
-class WordTable:
-    """Ids of distinct words as little-endian 32-bit integers; words of several units are put together from those."""
+def _gather(ids: np.ndarray, bounds: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of these numbers, end to end, and their bounds; list ``i`` is ``ids[bounds[i] : bounds[i + 1]]``."""
+    start = bounds[numbers]
+    size = bounds[numbers + 1] - start
+    found = _bounds(size)
+    at = np.repeat(start - found[:-1], size)
+    at += np.arange(found[-1])
+    return ids[at], found
+
+
+class UnitTable:
+    """Ids of distinct units as lists end to end. Units of more than one block outlive those that passed by once."""
 
     def __init__(self, model: str):
         self.library = Tokenizer.from_file(model)
-        self.ids: dict[str, bytes] = {}
-        self.again: set[str] = set()
         size = self.library.get_vocab_size()
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-
-    def learn(self, words: set[str]) -> None:
-        """Make all of ``words`` known. Words of more than one block outlive those that passed by once."""
-        if len(self.ids) + len(words) > TABLE_LIMIT:
-            kept = self.again | words
-            self.ids = {w: i for w, i in self.ids.items() if w in kept}
-            self.again = set()
-            if len(self.ids) + len(words) > TABLE_LIMIT:
-                self.ids = {w: i for w, i in self.ids.items() if w in words}
-        known = words & self.ids.keys()
-        self.again |= known
-        new = words - known
-        parts = {w: UNITS.findall(w) for w in new if not _is_plain(w)}
-        plain = new - parts.keys()
-        units = {u for p in parts.values() for u in p} - plain - self.ids.keys()
-        more = {u for u in units if _is_plain(u)}
-        self._encode([*plain, *more], list(units - more))
-        for word, found in parts.items():
-            if len(found) > 1:
-                self.ids[word] = b"".join(map(self.ids.__getitem__, found))
-
-    def rest(self) -> None:
-        """Keep some of the words of several blocks, so that an idle worker holds little."""
-        self.again = set(islice(self.again & self.ids.keys(), IDLE_LIMIT))
-        self.ids = {w: self.ids[w] for w in self.again}
-
-    def _encode(self, plain: list[str], other: list[str]) -> None:
+        self.units = pa.array([], pa.string())
+        self.ids, self.bounds, self.blocks = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def find(self, units: pa.Array) -> np.ndarray:
+        """Numbers of a block's units; unknown ones are learnt."""
+        if len(self.units) > TABLE_LIMIT or self.units.nbytes > TABLE_BYTES:
+            self.forget(TABLE_LIMIT // 2)
+        # Units of the table come first in the dictionary, in their order, and unknown ones behind them.
+        both = pa.concat_arrays([self.units, units]).dictionary_encode()
+        numbers = both.indices.to_numpy()[len(self.units) :]
+        self._learn(both.dictionary[len(self.units) :])
+        self.units = both.dictionary
+        self.blocks[numbers] += 1
+        return numbers
+
+    def forget(self, limit: int) -> None:
+        """Keep at most ``limit`` units, short ones of several blocks; they must be met again to be kept the next time."""
+        again = (self.blocks > 1) & (pc.binary_length(self.units).to_numpy() <= LONG)
+        kept = np.flatnonzero(again & (np.cumsum(again) <= limit))
+        self.ids, self.bounds = _gather(self.ids, self.bounds, kept)
+        self.units, self.blocks = self.units.take(pa.array(kept)), np.ones(len(kept), np.int64)
+
+    def _learn(self, units: pa.Array) -> None:
+        plain = pc.match_substring_regex(units, rf"^{LETTERS}$").to_numpy(zero_copy_only=False)
+        order, ids, sizes, other = [], [self.ids[:0]], [], [np.flatnonzero(~plain)]
         # A run of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
-        for at in range(0, len(plain), TOGETHER):
-            part = plain[at : at + TOGETHER]
-            found = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+        runs = np.flatnonzero(plain)
+        texts = units.take(pa.array(runs)).to_pylist()
+        for at in range(0, len(texts), TOGETHER):
+            part = texts[at : at + TOGETHER]
+            found = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[found]) + 1
             if len(cuts) != len(part):
-                other.extend(part)
+                other.append(runs[at : at + TOGETHER])
                 continue
-            data, start = found.tobytes(), 0
-            for unit, stop in zip(part, (4 * cuts).tolist()):
-                self.ids[unit] = data[start:stop]
-                start = stop
-        for at in range(0, len(other), 20_000):
-            part = other[at : at + 20_000]
-            for unit, found in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
-                self.ids[unit] = np.array(found.ids, dtype="<u4").tobytes()
-
-
-_TABLES: dict[str, WordTable] = {}
-
-
-def _ids_of(model: str, texts: list[str]) -> list[bytes]:
+            order.append(runs[at : at + TOGETHER])
+            ids.append(found)
+            sizes.append(np.diff(cuts, prepend=0))
+        other = np.concatenate(other)
+        for at in range(0, len(other), BATCH):
+            part = units.take(pa.array(other[at : at + BATCH])).to_pylist()
+            found = [e.ids for e in self.library.encode_batch(part, add_special_tokens=False)]
+            order.append(other[at : at + BATCH])
+            ids.append(np.fromiter(chain.from_iterable(found), "<u4"))
+            sizes.append(np.fromiter(map(len, found), np.int64))
+        if order:
+            back = np.argsort(np.concatenate(order))
+            ids, bounds = _gather(np.concatenate(ids), _bounds(np.concatenate(sizes)), back)
+            self.ids = np.concatenate([self.ids, ids])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
+            self.blocks = np.concatenate([self.blocks, np.zeros(len(units), np.int64)])
+
+
+_TABLES: dict[str, UnitTable] = {}
+
+
+def _ids_of(model: str, texts: list[str] | pa.Array) -> list[bytes]:
     """Ids of whole texts; the tokenizer lower-cases, so A-Z can be lower-cased before its table is asked."""
-    known = _TABLES.get(model) or _TABLES.setdefault(model, WordTable(model))
-    lowered = [t.lower() if t.isascii() else t.encode("utf-8", "replace").lower().decode() for t in texts]
-    words = [WORDS.findall(t) if any(c in t for c in NOT_SPACE) else t.split() for t in lowered]
-    known.learn(set().union(*words))
-    return [b"".join(map(known.ids.__getitem__, w)) for w in words]
+    known = _TABLES.get(model) or _TABLES.setdefault(model, UnitTable(model))
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string()) if isinstance(texts, list) else texts))
+    block = words.values.dictionary_encode()
+    spaced = pc.replace_substring_regex(block.dictionary, SPACE, " ")
+    units = pc.ascii_split_whitespace(pc.replace_substring_regex(spaced, rf"^({LETTERS})({MARKS})", r"\1 \2"))
+    numbers = known.find(units.values)
+    ids, bounds = _gather(known.ids, known.bounds, numbers)
+    ids, bounds = _gather(ids, bounds[units.offsets.to_numpy()], block.indices.to_numpy())
+    cuts = bounds[words.offsets.to_numpy()].tolist()
+    return [ids[start:stop].tobytes() for start, stop in pairwise(cuts)]
 
 
 def _cutter(model: str, capacity: int):
     end = END.to_bytes(4, "little")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
-            for start, stop in slices([len(t) for t in texts], BLOCK_CHARS):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").fill_null("")
+            for start, stop in slices(pc.binary_length(texts).to_pylist(), BLOCK_BYTES):
                 out = []
-                for key, ids in zip(pdf["key"].iloc[start:stop], _ids_of(model, texts[start:stop])):
+                for row, ids in enumerate(_ids_of(model, texts[start:stop]), start):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
-                        out.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                yield pd.DataFrame(out, columns=["key", "piece", "start", "length", "ids_crc32"]).astype({"key": "Int64"})
+                        out.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                row, *others = map(pa.array, zip(*out), CUT.types)
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(row), *others], schema=CUT)
         if model in _TABLES:
-            _TABLES[model].rest()
+            _TABLES[model].forget(IDLE_LIMIT)
         give_back()
 
     return cut
@@ -214,7 +240,7 @@ def pieces(
     """``id_col, piece, start, length, ids_crc32`` of every whole text followed by the end id."""
     model = model or public_tokenizers.path(MODEL)
     rows = docs.select(F.col(id_col).cast("bigint").alias("key"), F.col(text).alias("text"))
-    cut = rows.mapInPandas(
+    cut = rows.mapInArrow(
         _cutter(model, capacity), "key bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     )
     return cut.withColumnRenamed("key", id_col)
