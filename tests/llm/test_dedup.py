@@ -201,3 +201,10 @@ def test_windows_of_one_minimiser_are_told_apart_by_64_bits(monkeypatch):
     blobs = pd.concat(substring_dedup._mapper(4, 13, 4)(iter(blocks)))
     paths = pd.concat([substring_dedup._reducer(4)(part) for _, part in blobs.groupby("bucket")])
     assert sorted(zip(paths["id"], paths["source"], paths["n"])) == [(3 * k + 2, 3 * k + 1, 1) for k in range(20)]
+
+
+def test_guests_of_anchors_are_never_broadcast(spark):
+    distinct = spark.range(3000).selectExpr("xxhash64(id DIV 2) ^ (id % 2) AS fp")
+    near = simhash_dedup.links(distinct)
+    assert near.count() == 1500
+    assert "BroadcastExchange" not in near._jdf.queryExecution().executedPlan().toString()

@@ -130,8 +130,9 @@ def links(distinct: DataFrame, threshold: int = 2, blocks: int | None = None) ->
         .select("fp_b", F.col("home").bitwiseXOR(F.col("flip")).alias("anchor"))
     )
     near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= threshold
+    # Spark sizes the guests as if a fingerprint had one anchor, so it would send all of them to the driver for a broadcast.
     return homes.join(
-        guests, (homes["anchor"] == guests["anchor"]) & (F.col("fp_a") < F.col("fp_b")) & near
+        guests.hint("merge"), (homes["anchor"] == guests["anchor"]) & (F.col("fp_a") < F.col("fp_b")) & near
     ).select("fp_a", "fp_b")
 
 
